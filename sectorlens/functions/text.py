@@ -75,12 +75,14 @@ def keep_verb_lines(text: Column, language: Column,
 
     Texts in a language without a lexicon pass unchanged.
     """
+    def kept_lines(pattern: str) -> Column:
+        return F.array_join(F.filter(F.split(text, "\n"), lambda line: F.forall(
+            sentences(line), lambda s: s.rlike(pattern))), "\n")
+
     result = text
     for code in sorted(lexicons):
         pattern = verb_pattern(lexicons[code], suffixes.get(code, ()))
-        kept = F.filter(F.split(text, "\n"),
-                        lambda line, p=pattern: F.forall(sentences(line), lambda s: s.rlike(p)))
-        result = F.when(language == code, F.array_join(kept, "\n")).otherwise(result)
+        result = F.when(language == code, kept_lines(pattern)).otherwise(result)
     return result
 
 
@@ -132,15 +134,11 @@ def answers_no(answer: Column) -> Column:
 
 def ngrams(terms: Column, longest: int) -> Column:
     """All runs of 1 … ``longest`` neighbouring terms joined by a blank, unigrams first."""
-    def runs(t: Column) -> Column:
-        found = t
-        for n in range(2, longest + 1):
-            starts = F.filter(F.transform(t, lambda x, i: i), lambda i, n=n: i <= F.size(t) - n)
-            found = F.concat(found, F.transform(
-                starts, lambda i, n=n: F.array_join(F.slice(t, i + 1, F.lit(n)), " ")))
-        return found
-
-    return let(terms, runs)
+    def runs(t: Column, n: int) -> Column:
+        starts = F.filter(F.transform(t, lambda x, i: i), lambda i: i <= F.size(t) - n)
+        return F.transform(starts, lambda i: F.array_join(F.slice(t, i + 1, F.lit(n)), " "))
+
+    return let(terms, lambda t: F.concat(t, *[runs(t, n) for n in range(2, longest + 1)]))
 
 
 def term_counts(terms: Column) -> Column:

@@ -1,20 +1,23 @@
-"""Keyword extraction with maximal marginal relevance, inside the row.
+"""Keyword extraction with maximal marginal relevance, row by row.
 
 A document's keyword candidates depend on that document alone, so nothing here
-shuffles: candidates, relevance, greedy selection and filters are one column
-expression per row over all candidates of the whole text.
+shuffles.  Words are cut and filtered JVM-side; the greedy choice, whose every
+step depends on the picks before it, runs over Arrow batches of word lists.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+from collections import Counter
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import wordlists
-from ..functions.binding import let
 
 # Weight of diversity against relevance.
 DIVERSITY = 0.7
@@ -27,94 +30,75 @@ def keyword_terms(text: Column, stop_words: Sequence[str] = wordlists.STOP_WORDS
                     lambda w: (F.length(w) >= 2) & ~F.array_contains(stop, w))
 
 
-def candidates(text: Column, longest: int = 1,
-               stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> Column:
-    """All n-gram candidates of a text with their relevance, best first.
+def candidates(terms: Sequence[str], longest: int) -> list[tuple[str, float]]:
+    """All n-gram candidates with their relevance, best first, ties by name.
 
     Relevance is the cosine between the bags of words of candidate and document.
-    Result: array<struct<rel double, keyword string>>, ties in keyword order.
     """
-    def rated(terms: Column) -> Column:
-        counts = tx.term_counts(terms)
-        return let(counts, lambda tf: let(
-            F.sqrt(F.aggregate(tf, F.lit(0.0),
-                               lambda s, t: s + (t["tf"] * t["tf"]).cast("double"))),
-            lambda norm: F.concat(
-                F.transform(tf, lambda t: _entry(t["term"], t["tf"] / norm)),
-                _bigrams(terms, tf, norm) if longest > 1 else _none())))
+    counts = Counter(terms)
+    length = math.sqrt(sum(n * n for n in counts.values()))
+    rated = [(term, n / length) for term, n in counts.items()]
+    for n in range(2, longest + 1):
+        for run in set(zip(*[terms[i:] for i in range(n)])):
+            inside = Counter(run)
+            overlap = sum(m * counts[t] for t, m in inside.items())
+            size = math.sqrt(sum(m * m for m in inside.values()))
+            rated.append((" ".join(run), overlap / (length * size)))
+    return sorted(rated, key=lambda c: (-c[1], c[0]))
 
-    # Negative relevance sorts best first while keywords stay ascending.
-    ordered = F.sort_array(let(keyword_terms(text, stop_words), rated))
-    return F.transform(ordered, lambda c: F.struct((-c["neg"]).alias("rel"), c["keyword"]))
 
+def _grams(keyword: str, n: int = 3) -> frozenset[str]:
+    return frozenset(keyword[i:i + n] for i in range(max(len(keyword) - n + 1, 1)))
 
-def _entry(keyword: Column, rel: Column) -> Column:
-    return F.struct((-rel).alias("neg"), keyword.alias("keyword"))
 
-
-def _none() -> Column:
-    return F.array().cast("array<struct<neg:double,keyword:string>>")
-
-
-def _bigrams(terms: Column, tf: Column, norm: Column) -> Column:
-    """Rated pairs of neighbouring terms."""
-    counts = F.map_from_entries(tf)
-    pairs = F.array_distinct(F.transform(
-        F.slice(terms, F.lit(1), F.greatest(F.size(terms) - 1, F.lit(0))),
-        lambda t, i: F.struct(t.alias("a"), F.get(terms, i + 1).alias("b"))))
-    return let(counts, lambda m: F.transform(pairs, lambda p: _entry(
-        F.concat_ws(" ", p["a"], p["b"]),
-        F.when(p["a"] == p["b"], m[p["a"]] / norm)
-         .otherwise((m[p["a"]] + m[p["b"]]) / (norm * F.sqrt(F.lit(2.0)))))))
-
-
-def select_diverse(rated: Column, top_n: int, diversity: float = DIVERSITY) -> Column:
+def choose(rated: Sequence[tuple[str, float]], top_n: int,
+           diversity: float = DIVERSITY) -> list[tuple[str, float]]:
     """Greedy choice of ``top_n`` candidates, relevant and unlike those chosen before.
 
     The first pick is the most relevant; each further one maximises
-    (1 - diversity) * relevance - diversity * greatest similarity to a pick.
-    Similarity is the Jaccard index of character 3-grams.  All candidates stay in
-    play; each step updates their greatest similarity with the last pick only.
-    Result: array<struct<keyword string, rel double>> in order of choice.
+    (1 - diversity) * relevance - diversity * greatest similarity to a pick, the
+    similarity being the Jaccard index of character 3-grams.  All candidates stay
+    in play.  A candidate's score only falls as picks are added, so an old score
+    is an upper bound and is brought up to date only when it leads the queue.
     """
-    prepared = F.transform(rated, lambda c: F.struct(
-        c["keyword"].alias("keyword"), c["rel"].alias("rel"),
-        tx.char_grams(c["keyword"]).alias("grams"), F.lit(0.0).alias("near")))
-
-    def best(left: Column) -> Column:
-        # Greatest score; candidates come best and first by name, ties keep the earlier.
-        scores = F.transform(left, lambda c: (
-            F.lit(1 - diversity) * c["rel"] - F.lit(diversity) * c["near"]))
-        return let(scores, lambda s: F.get(left, F.array_position(s, F.array_max(s)).cast("int") - 1))
-
-    def step(state: Column, _: Column) -> Column:
-        return let(best(state["left"]), lambda pick: F.when(
-            F.size(state["left"]) > 0,
-            F.struct(
-                F.concat(state["picked"], F.array(F.struct(
-                    pick["keyword"].alias("keyword"), pick["rel"].alias("rel")))).alias("picked"),
-                F.transform(
-                    F.filter(state["left"], lambda c: c["keyword"] != pick["keyword"]),
-                    lambda c: F.struct(
-                        c["keyword"].alias("keyword"), c["rel"].alias("rel"),
-                        c["grams"].alias("grams"),
-                        F.greatest(c["near"], _jaccard(c["grams"], pick["grams"])).alias("near"))
-                ).alias("left"))).otherwise(state))
-
-    start = F.struct(F.array().cast("array<struct<keyword:string,rel:double>>").alias("picked"),
-                     prepared.alias("left"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(top_n)), start, step, lambda s: s["picked"])
-
-
-def _jaccard(left: Column, right: Column) -> Column:
-    shared = F.size(F.array_intersect(left, right))
-    return shared / (F.size(left) + F.size(right) - shared)
+    queue = [(-(1 - diversity) * rel, at, 0, 0.0) for at, (_, rel) in enumerate(rated)]
+    heapq.heapify(queue)
+    picked: list[int] = []
+    grams: list[frozenset[str]] = []
+    while queue and len(picked) < top_n:
+        _, at, seen, near = heapq.heappop(queue)
+        keyword, rel = rated[at]
+        own = _grams(keyword)
+        if seen == len(picked):
+            picked.append(at)
+            grams.append(own)
+            continue
+        for other in grams[seen:]:
+            shared = len(own & other)
+            near = max(near, shared / (len(own) + len(other) - shared))
+        heapq.heappush(queue, (-((1 - diversity) * rel - diversity * near), at, len(picked), near))
+    return [rated[at] for at in picked]
+
+
+def select_diverse(terms: Column, longest: int, top_n: int,
+                   diversity: float = DIVERSITY) -> Column:
+    """Diverse keywords of a word list as array<struct<keyword,rel>>, in order of choice."""
+
+    @F.pandas_udf("array<struct<keyword:string,rel:double>>")
+    def select(lists: pd.Series) -> pd.Series:
+        return pd.Series([
+            None if terms_ is None else
+            [{"keyword": k, "rel": r}
+             for k, r in choose(candidates(list(terms_), longest), top_n, diversity)]
+            for terms_ in lists], dtype=object)
+
+    return select(terms)
 
 
 def diverse_keywords(text: Column, longest: int, top_n: int, diversity: float = DIVERSITY,
                      stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> Column:
     """The ``top_n`` diverse keywords of a text, most relevant first."""
-    picked = select_diverse(candidates(text, longest, stop_words), top_n, diversity)
+    picked = select_diverse(keyword_terms(text, stop_words), longest, top_n, diversity)
     ordered = F.sort_array(F.transform(picked, lambda p: F.struct(
         (-p["rel"]).alias("neg"), p["keyword"].alias("keyword"))))
     return F.transform(ordered, lambda p: F.struct(

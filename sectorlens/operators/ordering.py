@@ -84,7 +84,7 @@ def joined_together(values: dict[str, Column], order: Column, separator: str) ->
     row = F.struct(order.alias("o"), *[
         F.coalesce(v.cast("string"), F.lit("")).alias(n) for n, v in values.items()])
     rows = F.array_sort(F.collect_list(row))
-    return [F.array_join(F.transform(rows, lambda r, n=n: r[n]), separator).alias(n)
+    return [F.array_join(rows[n], separator).alias(n)
             for n in values]
 
 

@@ -21,7 +21,7 @@ ColumnScorer = Callable[[Column], Column]
 BatchScorer = Callable[[pd.Series], Iterable]
 
 
-def score_in_batches(df: DataFrame, inputs: str, output: str, output_type: str,
+def score_in_batches(df: DataFrame, inputs: str, output: str, output_type: T.DataType,
                      make_scorer: Callable[[], BatchScorer], batch_size: int = 8,
                      attempts: int = 2) -> DataFrame:
     """Apply a model to a text column, batch by batch.
@@ -31,8 +31,8 @@ def score_in_batches(df: DataFrame, inputs: str, output: str, output_type: str,
     batch is tried again, then row by row, so that ``error`` is filled only for
     the rows that fail themselves; every row is kept, with its keys.
     """
-    schema = T.StructType([*df.schema.fields, *T._parse_datatype_string(
-        f"{output} {output_type}, error string").fields])
+    schema = T.StructType([*df.schema.fields, T.StructField(output, output_type),
+                           T.StructField("error", T.StringType())])
 
     def attempt(scorer: BatchScorer, texts: pd.Series) -> tuple[list | None, str | None]:
         problem = None

@@ -152,29 +152,24 @@ def picks(relation: str, keys: Sequence[str], text: str, longest: int, top_n: in
       JOIN tf ta ON {' AND '.join(f'p.{x} = ta.{x}' for x in keys)} AND p.a = ta.term
       JOIN tf tb ON {' AND '.join(f'p.{x} = tb.{x}' for x in keys)} AND p.b = tb.term
       JOIN norms n ON {' AND '.join(f'p.{x} = n.{x}' for x in keys)}"""
-    likeness = ("(len(list_intersect(c.grams, pick.grams)) / (len(c.grams) + len(pick.grams) - "
-                "len(list_intersect(c.grams, pick.grams))))")
+    shared = "len(list_intersect(grams, won))"
     return f"""(WITH RECURSIVE terms AS (SELECT {k}, {keyword_terms(f"coalesce({text}, '')")} AS t
         FROM {relation} r),
       tf AS (SELECT {k}, term, CAST(count(*) AS DOUBLE) AS tf FROM
         (SELECT {k}, unnest(t) AS term FROM terms) u GROUP BY {k}, term),
       norms AS (SELECT {k}, sqrt(sum(tf * tf)) AS norm FROM tf GROUP BY {k}),
       cand AS (SELECT {k}, term AS keyword, tf / norm AS rel FROM tf JOIN norms USING ({k}) {pairs}),
-      start AS (SELECT {k}, list({{'keyword': keyword, 'rel': rel, 'grams': {grams},
-          'near': CAST(0 AS DOUBLE)}} ORDER BY rel DESC, keyword) AS rest FROM cand GROUP BY {k}),
       steps AS (
-        SELECT {k}, CAST(0 AS BIGINT) AS pick_no, rest, CAST(NULL AS VARCHAR) AS keyword,
-          CAST(NULL AS DOUBLE) AS rel FROM start
+        SELECT {k}, CAST(0 AS BIGINT) AS pick_no, keyword, rel, {grams} AS grams,
+          CAST(0 AS DOUBLE) AS near, false AS is_pick FROM cand
         UNION ALL
-        SELECT {k}, pick_no + 1, list_transform(
-            list_filter(rest, lambda c: c.keyword <> pick.keyword),
-            lambda c: {{'keyword': c.keyword, 'rel': c.rel, 'grams': c.grams,
-              'near': greatest(c.near, {likeness})}}), pick.keyword, pick.rel
-        FROM (SELECT {k}, pick_no, rest, rest[list_position(s, list_max(s))] AS pick FROM
-          (SELECT {k}, pick_no, rest, list_transform(rest, lambda c:
-              CAST('0.30000000000000004' AS DOUBLE) * c.rel - CAST('0.7' AS DOUBLE) * c.near) AS s
-            FROM steps WHERE len(rest) > 0 AND pick_no < {top_n}) q) v)
-    SELECT {k}, pick_no, keyword, rel FROM steps WHERE pick_no > 0)"""
+        SELECT {k}, pick_no + 1, keyword, rel, grams,
+          greatest(near, {shared} / (len(grams) + len(won) - {shared})), keyword = winner
+        FROM (SELECT *, first_value(keyword) OVER best AS winner, first_value(grams) OVER best AS won
+          FROM (SELECT *, CAST('0.30000000000000004' AS DOUBLE) * rel - CAST('0.7' AS DOUBLE) * near
+              AS score FROM steps WHERE NOT is_pick AND pick_no < {top_n}) q
+          WINDOW best AS (PARTITION BY {k} ORDER BY score DESC, rel DESC, keyword)) v)
+    SELECT {k}, pick_no, keyword, rel FROM steps WHERE is_pick)"""
 
 
 def keyword_rows(relation: str, keys: Sequence[str], text: str, longest: int, top_n: int,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import prompts, web, wordlists
 from ..functions import text as tx
 from ..operators import cleaning, keywords, lookup, rollup, scoring, segments, windows
+from ..sources.readers import spread
 from . import sql
 from .roles import articles, table
 
@@ -95,7 +96,8 @@ def root_domain(spark, folder):
 
 def trigram_mismatch(spark, folder):
     sites = lookup.root_domains(table(spark, folder, "pages").select(
-        "page_id", "url", F.regexp_extract("url", "//[^/]+/(.*)$", 1).alias("company_name")))
+        "page_id", "url",
+        F.lower(F.regexp_extract("html", "<title>([^<]*)", 1)).alias("company_name")))
     return lookup.name_mismatches(sites)
 
 
@@ -157,20 +159,19 @@ def relevance_prompts(spark, folder):
 
 
 def mmr_select(spark, folder):
-    rated = keywords.candidates(F.col("content"))
-    picked = keywords.select_diverse(rated, 10)
-    return articles(spark, folder).select("doc_id", F.posexplode(picked).alias("at", "p")).select(
+    picked = keywords.select_diverse(keywords.keyword_terms(F.col("content")), 1, 10)
+    return spread(articles(spark, folder)).select("doc_id", F.posexplode(picked).alias("at", "p")).select(
         "doc_id", (F.col("at") + 1).cast("bigint").alias("pick_no"), F.col("p.keyword").alias("keyword"),
         F.round("p.rel", 6).alias("rel"))
 
 
 def keywords_company(spark, folder):
-    return keywords.company_keywords(articles(spark, folder), "content").select(
+    return keywords.company_keywords(spread(articles(spark, folder)), "content").select(
         "doc_id", "kw_no", "keywords", "keywords_score")
 
 
 def keywords_sector(spark, folder):
-    return keywords.sector_keywords(articles(spark, folder), "content").select(
+    return keywords.sector_keywords(spread(articles(spark, folder)), "content").select(
         "doc_id", "kw_no", "keywords", "keywords_score")
 
 
@@ -242,11 +243,11 @@ ORACLES = {
     "strip_boilerplate": f"""WITH RECURSIVE m AS (SELECT {list(MARKERS)} AS l),
         r AS (SELECT doc_id, 1 AS i, text AS t FROM documents
           UNION ALL
-          SELECT doc_id, CASE WHEN at = 0 THEN i + 1 ELSE i END,
-            CASE WHEN at = 0 THEN t ELSE substr(t, 1, at - 1) ||
-              CASE WHEN instr(substr(t, at), {sql.NEWLINE}) = 0 THEN ''
-                ELSE substr(t, at + instr(substr(t, at), {sql.NEWLINE})) END END
-          FROM (SELECT doc_id, i, t, instr(lower(t), l[i]) AS at FROM r, m WHERE i <= 3) s)
+          SELECT doc_id, CASE WHEN hit = 0 THEN i + 1 ELSE i END,
+            CASE WHEN hit = 0 THEN t ELSE substr(t, 1, hit - 1) ||
+              CASE WHEN instr(substr(t, hit), {sql.NEWLINE}) = 0 THEN ''
+                ELSE substr(t, hit + instr(substr(t, hit), {sql.NEWLINE})) END END
+          FROM (SELECT doc_id, i, t, instr(lower(t), l[i]) AS hit FROM r, m WHERE i <= 3) s)
         SELECT doc_id, length(t) AS n_chars, md5(t) AS content_md5 FROM r WHERE i = 4""",
     "sentence_split": f"""SELECT doc_id, CAST(generate_subscripts(s, 1) AS BIGINT) AS pos,
           md5(unnest(s)) AS sentence_md5
@@ -266,7 +267,7 @@ ORACLES = {
         FROM (SELECT doc_id, {sql.content_words('text')} AS t FROM documents)""",
     "root_domain": f"SELECT page_id, url, {_DOMAIN} AS root_domain FROM pages",
     "trigram_mismatch": f"""SELECT * FROM (SELECT page_id, url,
-          regexp_extract(url, '//[^/]+/(.*)$', 1) AS company_name, {_DOMAIN} AS root_domain FROM pages)
+          lower(regexp_extract(html, '<title>([^<]*)', 1)) AS company_name, {_DOMAIN} AS root_domain FROM pages)
         WHERE len(list_filter(range(1, greatest(length(company_name) - 1, 1)),
           lambda i: contains(root_domain, substr(company_name, i, 3)))) = 0""",
     "last_token": "SELECT page_id, string_split(url, '/')[-1] AS last_token FROM pages",

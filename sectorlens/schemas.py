@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+TEXT, INT, LONG, NUMBER = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+TEXTS = T.ArrayType(TEXT)
 
-def _struct(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)
 
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in columns.items()])
 
-SECTOR_MAP = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
-SITE_MAP = T.MapType(T.StringType(), T.StringType())
-SEARCH_RECORDS = _struct("company_name string, sector_keyword string, count int, urls array<string>")
-RAW_NEWS = _struct("company_name string, success int, content_or_error string")
-ARTICLES = _struct("company_name string, success int, content_or_error string, summary string")
-COMPANIES = _struct("company_name string, summary string, sector_name string, summary_result string")
-SECTORS = _struct("sector_name string, sector_summary string")
-SECTOR_TREND = _struct("sector_name string, sector_trend string")
-COMPANY_KEYWORDS = _struct("company_name string, sector_name string, summary_result string, "
-                           "keywords string, keywords_score double")
-COORDINATES = _struct("geo string, latitude double, longitude double")
-QUESTIONS = _struct("query_id long, query string, sector string, source string, images array<string>")
+
+SECTOR_MAP = T.MapType(TEXT, TEXTS)
+SITE_MAP = T.MapType(TEXT, TEXT)
+SEARCH_RECORDS = _table(company_name=TEXT, sector_keyword=TEXT, count=INT, urls=TEXTS)
+RAW_NEWS = _table(company_name=TEXT, success=INT, content_or_error=TEXT)
+ARTICLES = _table(company_name=TEXT, success=INT, content_or_error=TEXT, summary=TEXT)
+COMPANIES = _table(company_name=TEXT, summary=TEXT, sector_name=TEXT, summary_result=TEXT)
+SECTORS = _table(sector_name=TEXT, sector_summary=TEXT)
+SECTOR_TREND = _table(sector_name=TEXT, sector_trend=TEXT)
+COMPANY_KEYWORDS = _table(company_name=TEXT, sector_name=TEXT, summary_result=TEXT, keywords=TEXT,
+                          keywords_score=NUMBER)
+COORDINATES = _table(geo=TEXT, latitude=NUMBER, longitude=NUMBER)
+QUESTIONS = _table(query_id=LONG, query=TEXT, sector=TEXT, source=TEXT, images=TEXTS)

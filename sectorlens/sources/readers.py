@@ -20,6 +20,16 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores for a scan of fewer input splits than cores.
+
+    Meant for scans ahead of work that is heavy per row.  Large tables have more
+    splits than cores and are left alone, so nothing is shuffled there.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
              columns: Sequence[str] | None = None) -> DataFrame:
     """CSV with header, quoted line breaks and doubled quotes; optionally some columns only.

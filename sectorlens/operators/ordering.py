@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import checkpointed
 
 # Rows of one group that are put together in one task at most.
 CHUNK_ROWS = 1000
@@ -25,8 +25,7 @@ def with_ordinal(df: DataFrame, order: Sequence[str], name: str = "seq") -> Data
     the checkpoint folder, because the ordinals depend on the range boundaries
     and those may move when a lost task is computed again.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.orderBy(*order).checkpoint().withColumn(name, F.monotonically_increasing_id())
+    return checkpointed(df.orderBy(*order)).withColumn(name, F.monotonically_increasing_id())
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

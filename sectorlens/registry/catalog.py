@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import text_queries
+from . import retrieval_queries, rollup_queries, stat_queries, text_queries
 
-QUERIES = {**text_queries.QUERIES}
-ORACLES = {**text_queries.ORACLES}
+_MODULES = (stat_queries, text_queries, rollup_queries, retrieval_queries)
+
+QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+ORACLES = {name: text for module in _MODULES for name, text in module.ORACLES.items()}

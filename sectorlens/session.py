@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
@@ -41,3 +41,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="sectorlens-checkpoint-")
     context.setCheckpointDir(folder)
+
+
+def checkpointed(df: DataFrame, name: str = "") -> DataFrame:
+    """Write a stage to the checkpoint folder and go on from there.
+
+    Worth it where a costly stage is read more than once.  The files survive the
+    loss of executors.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

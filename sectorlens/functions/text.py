@@ -51,8 +51,7 @@ def blank_tokens(text: Column) -> Column:
 
 def content_words(text: Column, stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> Column:
     """Words that are no stop words; the comparison is case-sensitive."""
-    stop = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(words(text), lambda w: ~F.array_contains(stop, w))
+    return F.filter(words(text), lambda w: ~w.isin(*stop_words))
 
 
 def index_terms(text: Column, stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import wordlists
 from ..functions.numeric import circle_offset
+from ..session import checkpointed
 from .joins import lookup_join
 
 # Fixed value: radius, in degrees, of the circle on which categories are drawn.
@@ -73,8 +74,8 @@ def offset_observed(facts: DataFrame, order: str, label: str = "label",
     Only the distinct labels, after map-side combine, are ranked together.
     Rows without a label stay where they are.
     """
-    seen = facts.where(F.col(label).isNotNull()).groupBy(label).agg(
-        F.min(order).alias("first_seen"), F.count(F.lit(1)).alias("key_rows"))
+    seen = checkpointed(facts.where(F.col(label).isNotNull()).groupBy(label).agg(
+        F.min(order).alias("first_seen"), F.count(F.lit(1)).alias("key_rows")))
     everything = Window.orderBy("first_seen", label)
     north, east = circle_offset(F.col("place"), F.col("places"), radius)
     angles = (seen.withColumn("place", F.row_number().over(everything) - 1)

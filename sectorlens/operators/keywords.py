@@ -25,9 +25,8 @@ DIVERSITY = 0.7
 
 def keyword_terms(text: Column, stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> Column:
     """Lower-case words of two characters or more that are no stop words."""
-    stop = F.array(*[F.lit(w) for w in stop_words])
     return F.filter(F.transform(tx.words(text), F.lower),
-                    lambda w: (F.length(w) >= 2) & ~F.array_contains(stop, w))
+                    lambda w: (F.length(w) >= 2) & ~w.isin(*stop_words))
 
 
 def candidates(terms: Sequence[str], longest: int) -> list[tuple[str, float]]:

@@ -18,6 +18,11 @@ from ..session import checkpointed
 CHUNK_ROWS = 1000
 
 
+def block_of(order: str, rows: int = CHUNK_ROWS) -> Column:
+    """Block of ``rows`` consecutive values that an integer order value lies in."""
+    return F.expr(f"`{order}` div {rows}")
+
+
 def with_ordinal(df: DataFrame, order: Sequence[str], name: str = "seq") -> DataFrame:
     """Add a bigint that rises in the given order, for keys that are no integers.
 
@@ -61,9 +66,8 @@ def ordered_text(df: DataFrame, keys: Sequence[str], order: str, text: str, sepa
     page order with the separator gives the whole text.  A page without text
     gives the empty string.
     """
-    page = F.floor(F.col(order) / F.lit(chunk_rows)).cast("bigint")
     return (df.where(_all_present(keys))
-              .select(*keys, page.alias("page_no"), order, text)
+              .select(*keys, block_of(order, chunk_rows).alias("page_no"), order, text)
               .groupBy(*keys, "page_no")
               .agg(F.coalesce(joined(F.col(text), F.col(order), separator), F.lit("")).alias(name)))
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from .ordering import CHUNK_ROWS, joined
+from .ordering import CHUNK_ROWS, block_of, joined
 
 MARKER = "###"
 
@@ -89,10 +89,11 @@ def outcome_runs(rule: Rule, sizes: np.ndarray) -> pd.DataFrame:
     for i, size in enumerate(sizes):
         levels, opens = rule.step(levels, int(size))
         opened = opened + opens
-        if i % 16 == 15 and len(levels) > 1:
+        if i % 4 == 0 and len(levels) > 16:
             # Start levels that have met stay together; carry them once.
-            pairs, back = np.unique(np.stack([levels, opened]), axis=1, return_inverse=True)
-            levels, opened, owner = pairs[0], pairs[1], back.reshape(-1)[owner]
+            met, back = np.unique(opened * (rule.top + 1) + levels, return_inverse=True)
+            opened, levels = np.divmod(met, rule.top + 1)
+            owner = back[owner]
     end, count = levels[owner], opened[owner]
     same_count = np.diff(count) == 0
     flat = same_count & (np.diff(end) == 0)
@@ -118,10 +119,11 @@ def after_chunk(level: int, runs: pd.DataFrame) -> tuple[int, int]:
 
 
 def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str], size: str,
-                    rule: Rule, chunk: str = "chunk") -> DataFrame:
+                    text: str, rule: Rule, chunk: str = "chunk") -> DataFrame:
     """Add ``seg_no``, ``is_first`` and ``last_seg`` to ordered parts of groups.
 
-    ``chunk`` cuts a group into ordered blocks of bounded row count.
+    ``chunk`` cuts a group into ordered blocks of bounded row count.  A segment
+    that is left empty by an oversized first part is one more row without text.
     """
     keys = list(keys)
     key_fields = [parts.schema[k] for k in keys]
@@ -163,6 +165,7 @@ def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     def number(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order)
+        starts_group = bool(group["starts_group"].iloc[0])
         level, seg = np.array([group["level"].iloc[0]]), int(group["base"].iloc[0])
         numbers = []
         for part_size in group[size]:
@@ -170,8 +173,11 @@ def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
             seg += int(opens[0])
             numbers.append(seg)
         group["seg_no"] = numbers
-        group["is_first"] = False
-        group.iloc[0, group.columns.get_loc("is_first")] = bool(group["starts_group"].iloc[0])
+        group["is_first"] = np.arange(len(group)) == (0 if starts_group else -1)
+        if starts_group and numbers[0] > 0:
+            # The first part left an empty segment behind.
+            empty = group.iloc[[0]].assign(seg_no=0, is_first=False, **{text: ""})
+            group = pd.concat([empty, group])
         return group[out_names]
 
     out_schema = T.StructType([
@@ -184,8 +190,7 @@ def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def _with_parts(df: DataFrame, keys: Sequence[str], order: str, pieces: Column,
                 chunk_rows: int) -> DataFrame:
-    chunk = F.floor(F.col(order) / F.lit(chunk_rows)).cast("bigint")
-    return df.select(*keys, chunk.alias("chunk"), F.col(order).alias("part_order"),
+    return df.select(*keys, block_of(order, chunk_rows).alias("chunk"), F.col(order).alias("part_order"),
                      F.posexplode(pieces).alias("part_pos", "part"))
 
 
@@ -200,7 +205,7 @@ def pack_by_chars(df: DataFrame, keys: Sequence[str], order: str, text: str, lim
     pieces = F.split(F.col(text), MARKER)
     parts = _with_parts(df.where(F.col(text).isNotNull()), keys, order, pieces, chunk_rows)
     parts = parts.withColumn("part_size", F.length("part"))
-    numbered = number_segments(parts, keys, ["part_order", "part_pos"], "part_size",
+    numbered = number_segments(parts, keys, ["part_order", "part_pos"], "part_size", "part",
                                by_chars(limit))
     place = F.struct("part_order", "part_pos")
     filled = numbered.groupBy(*keys, "seg_no").agg(
@@ -208,10 +213,7 @@ def pack_by_chars(df: DataFrame, keys: Sequence[str], order: str, text: str, lim
         F.max("last_seg").alias("last_seg"))
     # Empty parts at the start of a segment leave no separator.
     filled = filled.withColumn("segment", F.regexp_replace("segment", f"^({MARKER})+", ""))
-    skipped = numbered.where(F.col("is_first") & (F.col("seg_no") == 1)).select(
-        *keys, F.lit(0).cast("bigint").alias("seg_no"), F.lit("").alias("segment"), "last_seg")
-    kept = filled.unionByName(skipped).where(
-        (F.col("segment") != "") | (F.col("seg_no") < F.col("last_seg")))
+    kept = filled.where((F.col("segment") != "") | (F.col("seg_no") < F.col("last_seg")))
     return kept.select(*keys, (F.col("seg_no") + 1).alias("seg_no"), "segment")
 
 
@@ -228,7 +230,7 @@ def pack_by_words(df: DataFrame, keys: Sequence[str], order: str, text: str, lim
                          lambda p: F.array_join(tx.blank_tokens(p), " "))
     parts = _with_parts(df.where(F.col(text).isNotNull()), keys, order, pieces, chunk_rows)
     parts = parts.withColumn("part_size", F.size(tx.blank_tokens(F.col("part"))))
-    numbered = number_segments(parts, keys, ["part_order", "part_pos"], "part_size",
+    numbered = number_segments(parts, keys, ["part_order", "part_pos"], "part_size", "part",
                                by_words(limit))
     marked = F.when(F.col("is_first"), F.nullif("part", F.lit(""))).otherwise(
         F.concat_ws(" ", F.lit(MARKER), F.nullif("part", F.lit(""))))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import prompts
 from ..functions import text as tx
 from ..functions import wordlists
-from .joins import lookup_join
+from ..session import checkpointed
+from .joins import lookup_join, spread_join
 from .ordering import first_values, joined
 
 # Question terms that are sent to every task at most: tens of megabytes.
@@ -49,7 +50,10 @@ def term_frequencies(docs: DataFrame, key: str, text: str = "text",
 
 def fit_terms(docs: DataFrame, key: str, text: str = "text",
               stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> DataFrame:
-    """Vocabulary: ``term``, ``df`` and idf = ln((1 + documents) / (1 + df)) + 1."""
+    """Vocabulary: ``term``, ``df`` and idf = ln((1 + documents) / (1 + df)) + 1.
+
+    Combined map-side, so a term found in every document is no burden.
+    """
     frequencies = term_frequencies(docs, key, text, stop_words)
     size = docs.agg(F.count(F.lit(1)).alias("n"))
     counted = frequencies.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -78,8 +82,11 @@ def _scaled(found: DataFrame, key: str) -> DataFrame:
 
 def build_index(docs: DataFrame, key: str, text: str = "text",
                 stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> tuple[DataFrame, DataFrame]:
-    """(terms, postings) of a corpus.  Write both with ``sources.writers.save_index``."""
-    terms = fit_terms(docs, key, text, stop_words)
+    """(terms, postings) of a corpus.  Write both with ``sources.writers.save_index``.
+
+    The vocabulary is read by every later step, so it is written down at once.
+    """
+    terms = checkpointed(fit_terms(docs, key, text, stop_words))
     return terms, weigh(docs, terms, key, text, stop_words)
 
 
@@ -111,7 +118,7 @@ def score(questions: DataFrame, terms: DataFrame, postings: DataFrame, query_key
     if small:
         met = listed.join(F.broadcast(asked), "term")
     else:
-        met = lookup_join(listed, asked, ["term"], "inner", [key],
+        met = spread_join(listed, asked, ["term"], "inner", [key],
                           terms.select("term", F.col("df").alias("key_rows")))
     return met.groupBy(query_key, key).agg(
         F.round(F.sum(F.col("asked") * F.col("weight")), decimals).alias("score"))
@@ -138,11 +145,11 @@ def pad_with_zeros(top: DataFrame, questions: DataFrame, docs: DataFrame, query_
     spare = last.agg(F.sort_array(F.collect_list(key), asc=False).alias("spare"))
     taken = questions.select(query_key).join(
         top.groupBy(query_key).agg(F.collect_list(key).alias("taken")), query_key, "left")
-    taken = taken.withColumn("taken", F.coalesce("taken", F.slice(spare.scalar(), 1, 0)))
-    free = F.filter(spare.scalar(), lambda d: ~F.array_contains("taken", d))
-    missing = F.slice(free, F.lit(1), F.lit(n) - F.size("taken"))
-    fill = taken.select(query_key, F.size("taken").alias("have"),
-                        F.posexplode(missing).alias("at", key)).select(
+    have = F.greatest(F.size("taken"), F.lit(0))
+    free = F.array_except(spare.scalar(), F.coalesce("taken", F.slice(spare.scalar(), 1, 0)))
+    fill = taken.select(query_key, have.alias("have"),
+                        F.posexplode(F.slice(free, F.lit(1), F.greatest(n - have, F.lit(0)))).alias("at", key)
+                        ).select(
         query_key, key, F.lit(0.0).alias("score"),
         (F.col("have") + F.col("at") + 1).cast("bigint").alias("rank"))
     return top.select(*fill.columns).unionByName(fill)

@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from ..functions import prompts
 from ..functions import text as tx
-from .ordering import CHUNK_ROWS, first_rows, joined, joined_together, ordered_text
+from .ordering import CHUNK_ROWS, block_of, first_rows, joined, joined_together, ordered_text
 from .packing import pack_by_chars, pack_by_words
 from .scoring import ColumnScorer
 from .windows import token_windows, window_arrays
 
 # Segment summaries that are joined for one summary of the next level.
 FAN_IN = 1000
-# Levels above the segments: enough for FAN_IN ** 4 segments in one group.
-LEVELS = 4
+# Levels above the segments: enough for FAN_IN ** 3 segments in one group.
+LEVELS = 3
 
 
 def summarize_articles(df: DataFrame, text: str = "content", name: str = "summary",
@@ -63,25 +63,25 @@ def sector_texts(df: DataFrame, order: str, text: str = "summary_result",
     return ordered_text(df, keys, order, text, " ### ", "sector_content", chunk_rows)
 
 
-def merge_summaries(segments: DataFrame, keys: Sequence[str], scorer, final,
+def merge_summaries(segments: DataFrame, keys: Sequence[str], final: ColumnScorer,
                     fan_in: int = FAN_IN, levels: int = LEVELS) -> DataFrame:
     """Reduce the segment summaries of a group to one text per group.
 
-    ``segments`` has keys, ``seg_no`` and ``summary``.  Up to ``fan_in`` summaries
+    ``segments`` has keys, ``seg_no`` from 1, ``summary`` and ``is_final``, which
+    marks a lone summary that is the result already.  Up to ``fan_in`` summaries
     are joined in order and summarised once more with ``final``.  A group with
     more goes through further levels of the same kind, so no task joins more
-    than ``fan_in`` summaries; a group that is already one text is left alone.
+    than ``fan_in`` summaries.
     """
     keys = list(keys)
-    level = segments.select(*keys, F.col("seg_no").alias("no"), F.lit(0).alias("merged"), "summary")
-    for depth in range(levels):
-        page = F.floor((F.col("no") - (1 if depth == 0 else 0)) / F.lit(fan_in)).cast("bigint")
-        grouped = level.withColumn("page", page).groupBy(*keys, "page").agg(
-            F.count(F.lit(1)).alias("parts"), F.max("merged").alias("merged"),
+    level = segments.select(*keys, (F.col("seg_no") - 1).alias("no"), "is_final", "summary")
+    for _ in range(levels):
+        grouped = level.groupBy(*keys, block_of("no", fan_in).alias("page")).agg(
+            F.count(F.lit(1)).alias("parts"), F.max("is_final").alias("is_final"),
             joined(F.col("summary"), F.col("no"), " ").alias("text"))
-        done = (F.col("merged") > 0) & (F.col("parts") == 1)
+        done = F.col("is_final") & (F.col("parts") == 1)
         level = grouped.select(
-            *keys, F.col("page").alias("no"), F.lit(1).alias("merged"),
+            *keys, F.col("page").alias("no"), F.lit(True).alias("is_final"),
             F.when(done, F.col("text")).otherwise(final(F.coalesce("text", F.lit("")))).alias("summary"))
     return level.select(*keys, "summary")
 
@@ -107,19 +107,16 @@ def summarize_companies(df: DataFrame, order: str = "doc_id", text: str = "summa
     sizes = present.groupBy(*keys).agg(F.coalesce(
         F.sum(F.length(text) + 3) - 3, F.lit(0)).alias("n_chars"))
     segments = pack_by_chars(present, keys, order, text, limit)
-    scored = segments.join(sizes, keys).select(
-        *keys, "seg_no", "n_chars", "segment",
-        ask(prompts.COMPANY_SEGMENT)(F.col("segment")).alias("summary"))
-    long = F.col("n_chars") > limit
-    merged = merge_summaries(scored.where(long), keys, scorer, ask(prompts.COMPANY_FINAL))
-    # A short text fills one segment, or follows an empty one when it nearly reaches the limit.
-    short = scored.where(~long & (F.col("segment") != "")).select(*keys, "summary")
-    found = merged.unionByName(short)
     # A company without any summary is asked about the empty text.
-    empty = ask(prompts.COMPANY_SEGMENT)(F.lit(""))
-    return (sizes.join(found, keys, "left")
-                 .select(*keys, F.when(F.col("n_chars") == 0, empty)
-                         .otherwise(F.col("summary")).alias("summary_result")))
+    whole = sizes.join(segments, keys, "left").withColumns({
+        "segment": F.coalesce("segment", F.lit("")), "seg_no": F.coalesce("seg_no", F.lit(1))})
+    # A short text is one segment, after an empty one when it nearly reaches the limit.
+    is_final = F.col("n_chars") <= limit
+    asked = whole.where(~is_final | (F.col("segment") != "") | (F.col("n_chars") == 0))
+    scored = asked.select(*keys, "seg_no", is_final.alias("is_final"),
+                          ask(prompts.COMPANY_SEGMENT)(F.col("segment")).alias("summary"))
+    merged = merge_summaries(scored, keys, ask(prompts.COMPANY_FINAL))
+    return merged.withColumnRenamed("summary", "summary_result")
 
 
 def summarize_sectors(companies: DataFrame, order: str,
@@ -144,8 +141,8 @@ def summarize_sectors(companies: DataFrame, order: str,
     summary = segment_scorer(F.col("segment"))
     if with_prompts:
         summary = prompts.fill(prompts.SECTOR_PART, sector=sector, number=F.col("seg_no"), text=summary)
-    scored = segments.select(*keys, "seg_no", summary.alias("summary"))
-    merged = merge_summaries(scored, keys, scorer, final_scorer)
+    scored = segments.select(*keys, "seg_no", F.lit(False).alias("is_final"), summary.alias("summary"))
+    merged = merge_summaries(scored, keys, final_scorer)
     return merged.withColumnRenamed("summary", "sector_summary")
 
 
@@ -170,7 +167,7 @@ def keyword_lists(rows: DataFrame, keys: Sequence[str], order: str,
     ``page_no`` counts blocks of ``chunk_rows`` consecutive order values, which
     bounds what one task joins.
     """
-    page = F.floor(F.col(order) / F.lit(chunk_rows)).cast("bigint").alias("page_no")
+    page = block_of(order, chunk_rows).alias("page_no")
     lists = joined_together({c: F.col(c) for c in columns}, F.col(order), "; ")
     return rows.where(_present(keys)).groupBy(*keys, page).agg(*lists)
 

@@ -79,14 +79,12 @@ def lexicon_polarity(text: Column, positive: Sequence[str] = wordlists.POSITIVE_
     minus probability of negative, three decimals.
     """
     tokens = F.transform(tx.words(text), F.lower)
-    up = F.array(*[F.lit(w) for w in positive])
-    down = F.array(*[F.lit(w) for w in negative])
     hits = F.aggregate(
         tokens,
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("up"), F.lit(0).alias("down")),
         lambda s, w: F.struct((s["n"] + 1).alias("n"),
-                              (s["up"] + F.array_contains(up, w).cast("int")).alias("up"),
-                              (s["down"] + F.array_contains(down, w).cast("int")).alias("down")),
+                              (s["up"] + w.isin(*positive).cast("int")).alias("up"),
+                              (s["down"] + w.isin(*negative).cast("int")).alias("down")),
         lambda s: F.when(s["n"] > 0, numeric.polarity(
             s["down"] * scale / s["n"], F.lit(1.0), s["up"] * scale / s["n"])).otherwise(0.0))
     return F.when(text.isNotNull(), hits)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import cosine
-from .ordering import CHUNK_ROWS
+from .ordering import CHUNK_ROWS, block_of
 
 # Question vectors that one task compares at once, and corpus vectors per task
 # when the questions are too many to be sent to every task.
@@ -110,8 +110,7 @@ def neighbour_similarity(df: DataFrame, keys: Sequence[str], order: str, vector:
     the rows, is looked up across blocks.
     """
     keys = list(keys)
-    chunk = F.floor(F.col(order) / F.lit(chunk_rows)).cast("bigint")
-    cut = df.select(*keys, order, vector, chunk.alias("chunk"))
+    cut = df.select(*keys, order, vector, block_of(order, chunk_rows).alias("chunk"))
     inside = Window.partitionBy(*keys, "chunk").orderBy(order)
     paired = cut.withColumn("next_id", F.lead(order).over(inside)) \
                 .withColumn("next_vector", F.lead(vector).over(inside))

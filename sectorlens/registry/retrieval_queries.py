@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import retrieval, vectors
+from ..sources.readers import spread
 from . import sql
 from .roles import table
 
 
 def corpus(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def questions(spark, folder):
@@ -76,7 +77,7 @@ ORACLES = {
     "tfidf_topk": f"""WITH {sql.tfidf()}, {sql.tfidf_scores()}
         SELECT query_id, id AS doc_id, score, rank FROM top""",
     "tfidf_topk_padded": f"""WITH {sql.tfidf(_LICENSED)}, {sql.tfidf_scores()},
-        every AS (SELECT item_id AS query_id, id, coalesce(score, 0) AS score,
+        every AS (SELECT item_id AS query_id, b.id, coalesce(score, 0) AS score,
             (score IS NOT NULL) AS found FROM (SELECT item_id, id FROM benchmark, {_LICENSED} l) b
             LEFT JOIN scores s ON b.item_id = s.query_id AND b.id = s.id)
         SELECT query_id, id AS doc_id, score, row_number() OVER (PARTITION BY query_id

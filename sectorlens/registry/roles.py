@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import lookup_join
-
 FIRST_YEAR, YEARS = 2008, 16
 
 
@@ -36,7 +34,8 @@ def statistics(spark: SparkSession, folder: str) -> DataFrame:
     suppliers = table(spark, folder, "supplier").join(
         table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("geo"))
-    return lookup_join(items, suppliers, ["l_suppkey"], "inner").select(
+    # Spark broadcasts the suppliers while their files are small; beyond, it splits hot ones.
+    return items.join(suppliers, "l_suppkey").select(
         F.col("l_orderkey").alias("seq"), "ref_date", "geo", "label", "l_returnflag", "uom", "value")
 
 

@@ -6,9 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.numeric import cosine
 from .ordering import CHUNK_ROWS, block_of
@@ -77,16 +76,20 @@ def _against_few(corpus: DataFrame, questions: pd.DataFrame, n: int, decimals: i
     return corpus.select("vec_id", "embedding").mapInPandas(compare, SCORES)
 
 
+def _numbers(count: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))
+
+
 def _against_many(corpus: DataFrame, questions: DataFrame, n: int, decimals: int) -> DataFrame:
     rows = max(1, -(-corpus.count() // CORPUS_BLOCK))
     columns = max(1, -(-questions.count() // QUESTION_BLOCK))
     # Every corpus block meets every question block in one bounded task.
     left = corpus.select(
         F.pmod(F.xxhash64("vec_id"), F.lit(rows)).alias("row"), "vec_id", "embedding",
-        F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("column"))
+        F.explode(_numbers(columns)).alias("column"))
     right = questions.select(
-        F.pmod(F.xxhash64("query_id"), F.lit(columns)).cast("int").alias("column"), "query_id", "embedding",
-        F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).cast("long").alias("row"))
+        F.pmod(F.xxhash64("query_id"), F.lit(columns)).alias("column"), "query_id", "embedding",
+        F.explode(_numbers(rows)).alias("row"))
 
     def compare(vectors: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(asked):

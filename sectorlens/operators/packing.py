@@ -7,8 +7,9 @@ fold is run as a scan over bounded chunks of its rows:
 1. every chunk works out, for every possible fill level at its start, the level
    at its end and the number of segments it opens.  Neighbouring levels mostly
    lead to the same outcome, so a chunk is described by a few runs;
-2. the runs of a group's chunks, a thousandth of its rows, are chained in order,
-   which gives every chunk its true start level and segment number;
+2. the runs of a thousand chunks are put together to the runs of a block, the
+   blocks of a group, a millionth of its rows, are chained in order, and then the
+   chunks inside each block, which gives every chunk its true start;
 3. every chunk numbers its own parts from there.
 
 The result equals the plain fold for any group size.
@@ -29,6 +30,8 @@ from ..functions import text as tx
 from .ordering import CHUNK_ROWS, block_of, joined
 
 MARKER = "###"
+# Chunks that are put together to one block.
+BLOCK_CHUNKS = 1000
 
 
 @dataclass(frozen=True)
@@ -94,28 +97,41 @@ def outcome_runs(rule: Rule, sizes: np.ndarray) -> pd.DataFrame:
             met, back = np.unique(opened * (rule.top + 1) + levels, return_inverse=True)
             opened, levels = np.divmod(met, rule.top + 1)
             owner = back[owner]
-    end, count = levels[owner], opened[owner]
+    return _as_runs(levels[owner], opened[owner])
+
+
+def chained_runs(rule: Rule, chunks: Sequence[pd.DataFrame]) -> pd.DataFrame:
+    """Outcome runs of consecutive chunks taken together."""
+    levels = np.arange(rule.top + 1, dtype=np.int64)
+    opened = np.zeros(rule.top + 1, dtype=np.int64)
+    for runs in chunks:
+        levels, more = after_chunk(levels, runs)
+        opened = opened + more
+    return _as_runs(levels, opened)
+
+
+def _as_runs(end: np.ndarray, count: np.ndarray) -> pd.DataFrame:
+    top = len(end) - 1
     same_count = np.diff(count) == 0
     flat = same_count & (np.diff(end) == 0)
     rising = same_count & (np.diff(end) == 1)
-    heads, lows, moves = 0, [], []
-    while heads <= rule.top:
-        lows.append(heads)
-        link = flat if heads < rule.top and flat[heads] else rising
-        moving = heads < rule.top and bool(link is rising and rising[heads])
+    head, lows, moves = 0, [], []
+    while head <= top:
+        moving = head < top and bool(rising[head])
+        lows.append(head)
         moves.append(moving)
-        stop = np.flatnonzero(~link[heads:])
-        heads = heads + int(stop[0]) + 1 if len(stop) else rule.top + 1
+        stop = np.flatnonzero(~(rising if moving else flat)[head:])
+        head = head + int(stop[0]) + 1 if len(stop) else top + 1
     return pd.DataFrame({"low": lows, "end_level": end[lows], "opened": count[lows],
                          "moves": moves})
 
 
-def after_chunk(level: int, runs: pd.DataFrame) -> tuple[int, int]:
-    """End level and opened segments of a chunk entered at ``level``."""
-    at = int(np.searchsorted(runs["low"].to_numpy(), level, side="right")) - 1
-    run = runs.iloc[at]
-    shift = level - int(run["low"]) if run["moves"] else 0
-    return int(run["end_level"]) + shift, int(run["opened"])
+def after_chunk(levels, runs: pd.DataFrame):
+    """End levels and opened segments of a chunk entered at the given levels."""
+    low = runs["low"].to_numpy()
+    at = np.searchsorted(low, levels, side="right") - 1
+    shift = np.where(runs["moves"].to_numpy()[at], levels - low[at], 0)
+    return runs["end_level"].to_numpy()[at] + shift, runs["opened"].to_numpy()[at]
 
 
 def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str], size: str,
@@ -127,41 +143,59 @@ def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys = list(keys)
     key_fields = [parts.schema[k] for k in keys]
-    chunk_field = T.StructField(chunk, T.LongType())
     order = list(order)
 
+    def keyed(frame: pd.DataFrame, group: pd.DataFrame, names: list[str]) -> pd.DataFrame:
+        for name in reversed(names):
+            frame.insert(0, name, group[name].iloc[0])
+        return frame
+
+    def schema(*columns: tuple[str, T.DataType]) -> T.StructType:
+        return T.StructType([*key_fields, *[T.StructField(n, t) for n, t in columns]])
+
+    def chunks_of(group: pd.DataFrame, unit: str):
+        return group.sort_values([unit, "low"]).groupby(unit, sort=True)
+
+    number_, flag = T.LongType(), T.BooleanType()
+    outcome = (("low", number_), ("end_level", number_), ("opened", number_), ("moves", flag))
+    entry = (("level", number_), ("base", number_), ("starts_group", flag), ("last_seg", number_))
+
     def describe(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order)
-        runs = outcome_runs(rule, group[size].to_numpy())
-        for name in (chunk, *keys):
-            runs.insert(0, name, group[name].iloc[0])
-        return runs[[*keys, chunk, "low", "end_level", "opened", "moves"]]
-
-    runs_schema = T.StructType([
-        *key_fields, chunk_field, T.StructField("low", T.LongType()),
-        T.StructField("end_level", T.LongType()), T.StructField("opened", T.LongType()),
-        T.StructField("moves", T.BooleanType())])
-    runs = (parts.select(*keys, chunk, *order, size)
-                 .groupBy(*keys, chunk).applyInPandas(describe, runs_schema))
-
-    def chain(group: pd.DataFrame) -> pd.DataFrame:
-        level, base, rows = rule.initial, 0, []
-        first_chunk = group[chunk].min()
-        for number, chunk_runs in group.sort_values([chunk, "low"]).groupby(chunk, sort=True):
-            rows.append((number, level, base, number == first_chunk))
-            level, opened = after_chunk(level, chunk_runs)
+        sizes = group.sort_values(order)[size].to_numpy()
+        return keyed(outcome_runs(rule, sizes), group, [*keys, "block", chunk])
+
+    runs = (parts.select(*keys, chunk, block_of(chunk, BLOCK_CHUNKS).alias("block"), *order, size)
+                 .groupBy(*keys, "block", chunk)
+                 .applyInPandas(describe, schema(("block", number_), (chunk, number_), *outcome)))
+
+    def describe_block(group: pd.DataFrame) -> pd.DataFrame:
+        together = chained_runs(rule, [r for _, r in chunks_of(group, chunk)])
+        return keyed(together, group, [*keys, "block"])
+
+    blocks = runs.groupBy(*keys, "block").applyInPandas(
+        describe_block, schema(("block", number_), *outcome))
+
+    def chain(units: pd.DataFrame, unit: str, level: int, base: int, starts: bool) -> pd.DataFrame:
+        rows = []
+        for at, (number, unit_runs) in enumerate(chunks_of(units, unit)):
+            rows.append((number, level, base, starts and at == 0))
+            level, opened = (int(x) for x in after_chunk(level, unit_runs))
             base += opened
-        out = pd.DataFrame(rows, columns=[chunk, "level", "base", "starts_group"])
-        out["last_seg"] = base
-        for name in reversed(keys):
-            out.insert(0, name, group[name].iloc[0])
-        return out
-
-    starts_schema = T.StructType([
-        *key_fields, chunk_field, T.StructField("level", T.LongType()),
-        T.StructField("base", T.LongType()), T.StructField("starts_group", T.BooleanType()),
-        T.StructField("last_seg", T.LongType())])
-    starts = runs.groupBy(*keys).applyInPandas(chain, starts_schema)
+        return pd.DataFrame(rows, columns=[unit, "level", "base", "starts_group"]).assign(last_seg=base)
+
+    def chain_blocks(group: pd.DataFrame) -> pd.DataFrame:
+        return keyed(chain(group, "block", rule.initial, 0, True), group, keys)
+
+    block_starts = blocks.groupBy(*keys).applyInPandas(
+        chain_blocks, schema(("block", number_), *entry))
+
+    def chain_chunks(group: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        first = start.iloc[0]
+        inside = chain(group, chunk, int(first["level"]), int(first["base"]), bool(first["starts_group"]))
+        return keyed(inside.assign(last_seg=first["last_seg"]), group, keys)
+
+    starts = (runs.groupBy(*keys, "block").cogroup(block_starts.groupBy(*keys, "block"))
+                  .applyInPandas(chain_chunks, schema((chunk, number_), *entry)))
 
     def number(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order)

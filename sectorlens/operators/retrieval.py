@@ -11,7 +11,7 @@ from ..functions import prompts
 from ..functions import text as tx
 from ..functions import wordlists
 from ..session import checkpointed
-from .joins import lookup_join, spread_join
+from .joins import is_small, lookup_join, spread_join
 from .ordering import first_values, joined
 
 # Question terms that are sent to every task at most: tens of megabytes.
@@ -171,10 +171,13 @@ def answer_prompts(questions: DataFrame, top: DataFrame, docs: DataFrame, query_
                    source: str = "source") -> DataFrame:
     """Prompt per question: the question itself for source ``Online``, else with excerpts.
 
-    A question has at most n excerpts, so its group is bounded.
+    A question has at most n excerpts, so its group is bounded.  The chosen keys
+    are written down and counted; when they are few, the documents' texts are not
+    shuffled to find them.
     """
-    excerpts = docs.select(key, F.col(text).alias("excerpt")).join(
-        top.select(query_key, key, "rank"), key)
+    chosen = checkpointed(top.select(query_key, key, "rank"))
+    wanted = F.broadcast(chosen) if is_small(chosen) else chosen
+    excerpts = docs.select(key, F.col(text).alias("excerpt")).join(wanted, key)
     piece = prompts.fill(prompts.EXCERPT, number=F.col("rank"), text=F.col("excerpt"))
     gathered = excerpts.groupBy(query_key).agg(joined(piece, F.col("rank"), "").alias("excerpts"))
     local = prompts.fill(prompts.RETRIEVAL, question=F.col(query),

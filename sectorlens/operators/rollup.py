@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -172,6 +172,25 @@ def keyword_lists(rows: DataFrame, keys: Sequence[str], order: str,
     return rows.where(_present(keys)).groupBy(*keys, page).agg(*lists)
 
 
+def aggregate_rows(rows: DataFrame, keys: Sequence[str], order: str,
+                   lists: Sequence[str] = (), first: Sequence[str] = (),
+                   aggregates: Mapping[str, Column] | None = None,
+                   rename: Mapping[str, str] | None = None, separator: str = "; ") -> DataFrame:
+    """Aggregate a keyword table by the caller's choice, in one pass.
+
+    ``lists`` are joined in one common order, ``first`` keeps the first non-null
+    value, ``aggregates`` names further aggregate columns, ``rename`` maps names
+    of the result; names it does not have are ignored.  For groups of bounded
+    size, such as the keywords of one text; see :func:`keyword_lists` otherwise.
+    """
+    joins = joined_together({c: F.col(c) for c in lists}, F.col(order), separator) if lists else []
+    picks = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c)
+             for c in first if c not in keys]
+    further = [c.alias(n) for n, c in (aggregates or {}).items()]
+    done = rows.where(_present(keys)).groupBy(*keys).agg(*joins, *picks, *further)
+    return done.withColumnsRenamed(dict(rename or {}))
+
+
 def _present(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:

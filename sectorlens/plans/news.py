@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import numeric
+from ..functions import numeric, prompts
 from ..functions import text as tx
-from ..operators import keywords, lookup, rollup, scoring
-from ..operators.ordering import joined_together, with_ordinal
+from ..operators import cleaning, keywords, lookup, rollup, scoring
+from ..operators.ordering import with_ordinal
 from ..session import checkpointed
 
 COMPANY = ["year", "company_name", "sector_name"]
@@ -29,21 +29,22 @@ class Report:
 
 
 def sentiment_lists(rows: DataFrame, keys: list[str], prefix: str,
-                    polarity: Callable[[Column], Column], first: dict[str, str]) -> DataFrame:
-    """Score keyword rows and gather them per key: three aligned lists, the mean, first texts.
+                    polarity: Callable[[Column], Column], summary: str) -> DataFrame:
+    """Score keyword rows and gather them per key: three aligned lists, the mean, the text.
 
     There is one text per key and at most five keywords per text, so the groups
-    are bounded.  Lists, mean and carried texts come from one aggregation.
+    are bounded.
     """
     scored = rows.withColumn("keywords_sentiment", polarity(F.col("keywords")))
-    lists = joined_together({
-        f"{prefix}_keywords": F.col("keywords"),
-        f"{prefix}_keywords_score": numeric.plain_number(F.col("keywords_score")),
-        f"{prefix}_keywords_sentiment": numeric.plain_number(F.col("keywords_sentiment")),
-    }, F.col("kw_no"), "; ")
-    mean = F.round(F.avg("keywords_sentiment"), 4).alias(f"{prefix}_sentiment")
-    carried = [F.min_by(old, "kw_no").alias(new) for old, new in first.items()]
-    return scored.groupBy(*keys).agg(*lists, mean, *carried)
+    return rollup.aggregate_rows(
+        scored.withColumns({
+            "sentiment": F.col("keywords_sentiment"),
+            "keywords_score": numeric.plain_number(F.col("keywords_score")),
+            "keywords_sentiment": numeric.plain_number(F.col("keywords_sentiment"))}),
+        keys, "kw_no", ("keywords", "keywords_score", "keywords_sentiment"), (summary,),
+        {f"{prefix}_sentiment": F.round(F.avg("sentiment"), 4)},
+        {"keywords": f"{prefix}_keywords", "keywords_score": f"{prefix}_keywords_score",
+         "keywords_sentiment": f"{prefix}_keywords_sentiment", summary: f"{prefix}_summary"})
 
 
 def merge_report(companies: DataFrame, sectors: DataFrame, trends: DataFrame) -> DataFrame:
@@ -55,27 +56,34 @@ def merge_report(companies: DataFrame, sectors: DataFrame, trends: DataFrame) ->
 def report(articles: DataFrame, mapping: DataFrame, order: str,
            polarity: Callable[[Column], Column] = scoring.lexicon_polarity,
            scorer: scoring.ColumnScorer = tx.first_sentence,
+           judge: scoring.ColumnScorer | None = None,
            materialize: Callable[[DataFrame, str], DataFrame] = checkpointed) -> Report:
     """Run the flow on cleaned articles (company_name, year, content and an order column).
 
-    ``mapping`` is the sector table of :func:`lookup.add_sector`.  ``materialize``
+    ``mapping`` is the sector table of :func:`lookup.add_sector`.  ``judge``
+    answers the relevance prompt with yes or no; without it all articles count.
+    ``materialize``
     writes a stage and reads it back; the default uses the checkpoint folder.  It
     follows the scorers, so that neither reuse nor a retry repeats inference.
     """
     summarized = rollup.summarize_articles(articles, scorer=scorer)
     summaries = materialize(summarized.select("year", "company_name", order, "summary"), "summaries")
     placed = lookup.add_sector(summaries, mapping, [order])
+    if judge is not None:
+        asked = prompts.fill(prompts.RELEVANCE, sector=F.col("sector_name"), text=F.col("summary"))
+        answered = materialize(placed.withColumns({"answer": judge(asked), "success": F.lit(1)}), "answers")
+        placed = cleaning.reject_irrelevant(answered)
     companies = rollup.summarize_companies(placed, order, keys=COMPANY, scorer=scorer)
     # Companies follow each other by name; the range sort turns names into ordinals.
     ordered = with_ordinal(companies, SECTOR + ["company_name"], "company_ord")
     companies = ordered.drop("company_ord")
     sectors = materialize(rollup.summarize_sectors(ordered, "company_ord", SECTOR, scorer=scorer),
                           "sectors")
-    prompts = rollup.trend_prompts(sectors, "year")
-    trends = materialize(prompts.select("sector_name", scorer(F.col("prompt")).alias("sector_trend")),
+    asked = rollup.trend_prompts(sectors, "year")
+    trends = materialize(asked.select("sector_name", scorer(F.col("prompt")).alias("sector_trend")),
                          "trends")
     company_rows = sentiment_lists(keywords.company_keywords(companies), COMPANY,
-                                   "company", polarity, {"summary_result": "company_summary"})
+                                   "company", polarity, "summary_result")
     sector_rows = sentiment_lists(keywords.sector_keywords(sectors), SECTOR, "sector", polarity,
-                                  {"sector_summary": "sector_summary"})
+                                  "sector_summary")
     return Report(companies, sectors, trends, merge_report(company_rows, sector_rows, trends))

@@ -45,7 +45,8 @@ CASES = {
 
 
 @pytest.mark.parametrize("chunk", [2, 1000])
-def test_pack_by_chars_equals_plain_fold(spark, chunk):
+def test_pack_by_chars_equals_plain_fold(spark, monkeypatch, chunk):
+    monkeypatch.setattr(packing, "BLOCK_CHUNKS", 4)
     rng = random.Random(3)
     groups = dict(CASES)
     groups["long"] = ["".join(rng.choice("ab") for _ in range(rng.choice([0, 1, 5, 9, 14, 18, 30])))
@@ -86,6 +87,8 @@ def test_outcome_runs_equal_every_single_start(rule):
                 level, opens = rule.step(level, int(size))
                 opened += int(opens[0])
             assert packing.after_chunk(start, runs) == (int(level[0]), opened)
+        cuts = [packing.outcome_runs(rule, sizes[i:i + 3]) for i in range(0, n, 3)]
+        assert packing.chained_runs(rule, cuts).equals(runs)
 
 
 def test_company_summaries_short_long_and_empty(spark):

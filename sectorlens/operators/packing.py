@@ -1,8 +1,10 @@
 """Greedy packing of the ordered texts of a group into segments.
 
 Packing is a left-to-right fold: whether a part opens a new segment depends on
-how full the current one is.  A hot group cannot be folded in one task, so the
-fold is run as a scan over bounded chunks of its rows:
+how full the current one is.  Only the sizes of the parts matter for it, so the
+texts stay out of it until the segments are numbered.  Sizes are range-sorted by
+group and order and cut into chunks of bounded row count.  A group inside one
+chunk, the common case, is folded at once.  A larger one is run as a scan:
 
 1. every chunk works out, for every possible fill level at its start, the level
    at its end and the number of segments it opens.  Neighbouring levels mostly
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from .ordering import CHUNK_ROWS, block_of, joined
+from .ordering import CHUNK_ROWS, block_of, joined, with_ordinal
 
 MARKER = "###"
 # Chunks that are put together to one block.
@@ -135,15 +137,19 @@ def after_chunk(levels, runs: pd.DataFrame):
 
 
 def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str], size: str,
-                    text: str, rule: Rule, chunk: str = "chunk") -> DataFrame:
-    """Add ``seg_no``, ``is_first`` and ``last_seg`` to ordered parts of groups.
+                    rule: Rule, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Number the segments of ordered parts of groups.
 
-    ``chunk`` cuts a group into ordered blocks of bounded row count.  A segment
-    that is left empty by an oversized first part is one more row without text.
+    Result: keys, order, ``seg_no`` from 0, ``is_first`` for the first part of a
+    group and ``last_seg``.  A segment that is left empty by an oversized first
+    part is one more row, whose last order column is -1.
     """
-    keys = list(keys)
+    keys, order, chunk = list(keys), list(order), "chunk"
     key_fields = [parts.schema[k] for k in keys]
-    order = list(order)
+    sorted_sizes = with_ordinal(parts.select(*keys, *order, size), [*keys, *order], "ordinal")
+    sizes = sorted_sizes.select(*keys, *order, size, block_of("ordinal", chunk_rows).alias(chunk))
+    spans = sizes.groupBy(*keys).agg(F.min(chunk).alias("low"), F.max(chunk).alias("high"))
+    large = spans.where(F.col("low") < F.col("high")).select(*keys)
 
     def keyed(frame: pd.DataFrame, group: pd.DataFrame, names: list[str]) -> pd.DataFrame:
         for name in reversed(names):
@@ -161,10 +167,11 @@ def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
     entry = (("level", number_), ("base", number_), ("starts_group", flag), ("last_seg", number_))
 
     def describe(group: pd.DataFrame) -> pd.DataFrame:
-        sizes = group.sort_values(order)[size].to_numpy()
-        return keyed(outcome_runs(rule, sizes), group, [*keys, "block", chunk])
+        ordered = group.sort_values(order)[size].to_numpy()
+        return keyed(outcome_runs(rule, ordered), group, [*keys, "block", chunk])
 
-    runs = (parts.select(*keys, chunk, block_of(chunk, BLOCK_CHUNKS).alias("block"), *order, size)
+    runs = (sizes.join(large, keys, "left_semi")
+                 .withColumn("block", block_of(chunk, BLOCK_CHUNKS))
                  .groupBy(*keys, "block", chunk)
                  .applyInPandas(describe, schema(("block", number_), (chunk, number_), *outcome)))
 
@@ -199,8 +206,10 @@ def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     def number(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order)
-        starts_group = bool(group["starts_group"].iloc[0])
-        level, seg = np.array([group["level"].iloc[0]]), int(group["base"].iloc[0])
+        whole = bool(pd.isna(group["level"].iloc[0]))
+        starts_group = whole or bool(group["starts_group"].iloc[0])
+        level = np.array([rule.initial if whole else int(group["level"].iloc[0])])
+        seg = 0 if whole else int(group["base"].iloc[0])
         numbers = []
         for part_size in group[size]:
             level, opens = rule.step(level, int(part_size))
@@ -208,23 +217,28 @@ def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
             numbers.append(seg)
         group["seg_no"] = numbers
         group["is_first"] = np.arange(len(group)) == (0 if starts_group else -1)
+        if whole:
+            group["last_seg"] = seg
         if starts_group and numbers[0] > 0:
             # The first part left an empty segment behind.
-            empty = group.iloc[[0]].assign(seg_no=0, is_first=False, **{text: ""})
+            empty = group.iloc[[0]].assign(seg_no=0, is_first=False, **{order[-1]: -1})
             group = pd.concat([empty, group])
-        return group[out_names]
+        return group[out.fieldNames()]
 
-    out_schema = T.StructType([
-        *parts.schema.fields, T.StructField("seg_no", T.LongType()),
-        T.StructField("is_first", T.BooleanType()), T.StructField("last_seg", T.LongType())])
-    out_names = out_schema.fieldNames()
-    return (parts.join(starts, [*keys, chunk])
-                 .groupBy(*keys, chunk).applyInPandas(number, out_schema))
+    out = T.StructType([*key_fields, *[parts.schema[o] for o in order], T.StructField("seg_no", number_),
+                        T.StructField("is_first", flag), T.StructField("last_seg", number_)])
+    return (sizes.join(starts, [*keys, chunk], "left")
+                 .groupBy(*keys, chunk).applyInPandas(number, out))
 
 
-def _with_parts(df: DataFrame, keys: Sequence[str], order: str, pieces: Column,
-                chunk_rows: int) -> DataFrame:
-    return df.select(*keys, block_of(order, chunk_rows).alias("chunk"), F.col(order).alias("part_order"),
+PLACE = ["part_order", "part_pos"]
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: str, text: str, pieces: Column) -> DataFrame:
+    """Parts of the non-null texts of groups that have a key."""
+    for name in (*keys, text):
+        df = df.where(F.col(name).isNotNull())
+    return df.select(*keys, F.col(order).alias("part_order"),
                      F.posexplode(pieces).alias("part_pos", "part"))
 
 
@@ -236,14 +250,11 @@ def pack_by_chars(df: DataFrame, keys: Sequence[str], order: str, text: str, lim
     inside a text separate parts as well.  An oversized part forms a segment of
     its own, after an empty one when it comes first.
     """
-    pieces = F.split(F.col(text), MARKER)
-    parts = _with_parts(df.where(F.col(text).isNotNull()), keys, order, pieces, chunk_rows)
-    parts = parts.withColumn("part_size", F.length("part"))
-    numbered = number_segments(parts, keys, ["part_order", "part_pos"], "part_size", "part",
-                               by_chars(limit))
-    place = F.struct("part_order", "part_pos")
-    filled = numbered.groupBy(*keys, "seg_no").agg(
-        joined(F.col("part"), place, MARKER).alias("segment"),
+    parts = _cut(df, keys, order, text, F.split(F.col(text), MARKER))
+    numbered = number_segments(parts.withColumn("size", F.length("part")), keys, PLACE, "size",
+                               by_chars(limit), chunk_rows)
+    filled = numbered.join(parts, [*keys, *PLACE], "left").groupBy(*keys, "seg_no").agg(
+        F.coalesce(joined(F.col("part"), F.struct(*PLACE), MARKER), F.lit("")).alias("segment"),
         F.max("last_seg").alias("last_seg"))
     # Empty parts at the start of a segment leave no separator.
     filled = filled.withColumn("segment", F.regexp_replace("segment", f"^({MARKER})+", ""))
@@ -262,13 +273,12 @@ def pack_by_words(df: DataFrame, keys: Sequence[str], order: str, text: str, lim
     spaced = F.concat(F.lit(" "), F.array_join(tx.blank_tokens(F.col(text)), "  "), F.lit(" "))
     pieces = F.transform(F.split(spaced, f" {MARKER} "),
                          lambda p: F.array_join(tx.blank_tokens(p), " "))
-    parts = _with_parts(df.where(F.col(text).isNotNull()), keys, order, pieces, chunk_rows)
-    parts = parts.withColumn("part_size", F.size(tx.blank_tokens(F.col("part"))))
-    numbered = number_segments(parts, keys, ["part_order", "part_pos"], "part_size", "part",
-                               by_words(limit))
+    parts = _cut(df, keys, order, text, pieces)
+    sized = parts.withColumn("size", F.size(tx.blank_tokens(F.col("part"))))
+    numbered = number_segments(sized, keys, PLACE, "size", by_words(limit), chunk_rows)
     marked = F.when(F.col("is_first"), F.nullif("part", F.lit(""))).otherwise(
         F.concat_ws(" ", F.lit(MARKER), F.nullif("part", F.lit(""))))
-    segments = numbered.withColumn("part", marked).groupBy(*keys, "seg_no").agg(
-        F.coalesce(joined(F.col("part"), F.struct("part_order", "part_pos"), " "), F.lit(""))
-        .alias("segment"))
+    segments = (numbered.join(parts, [*keys, *PLACE], "left").withColumn("part", marked)
+                        .groupBy(*keys, "seg_no").agg(F.coalesce(
+                            joined(F.col("part"), F.struct(*PLACE), " "), F.lit("")).alias("segment")))
     return segments.where(F.col("segment") != "").withColumn("seg_no", F.col("seg_no") + 1)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
+from .joins import is_small
 
 # Rows of one group that are put together in one task at most.
 CHUNK_ROWS = 1000
@@ -37,12 +38,14 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Keep the first row per key; ``order`` must be unique per key.
 
     The winners are found on the narrow columns with a map-side combined
-    minimum, then fetched by key and order.  Wide columns are never sorted, and
-    Spark broadcasts the winners when they turn out small.  Rows with a null key
-    are dropped.
+    minimum, written down and counted.  When they are few, the wide rows are
+    filtered where they lie; else they are joined by key and order, which is
+    unique.  Rows with a null key are dropped.
     """
     present = df.where(_all_present(keys))
-    winners = present.groupBy(*keys).agg(F.min(order).alias(order))
+    winners = checkpointed(present.groupBy(*keys).agg(F.min(order).alias(order)))
+    if is_small(winners):
+        winners = F.broadcast(winners)
     return present.join(winners, [*keys, order], "left_semi")
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
+from ..session import checkpointed
 from .ordering import CHUNK_ROWS, block_of, joined, with_ordinal
 
 MARKER = "###"
@@ -146,7 +147,9 @@ def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order, chunk = list(keys), list(order), "chunk"
     key_fields = [parts.schema[k] for k in keys]
-    sorted_sizes = with_ordinal(parts.select(*keys, *order, size), [*keys, *order], "ordinal")
+    # Written down before the sort, whose sampling would cut the texts once more.
+    narrow = checkpointed(parts.select(*keys, *order, size))
+    sorted_sizes = with_ordinal(narrow, [*keys, *order], "ordinal")
     sizes = sorted_sizes.select(*keys, *order, size, block_of("ordinal", chunk_rows).alias(chunk))
     spans = sizes.groupBy(*keys).agg(F.min(chunk).alias("low"), F.max(chunk).alias("high"))
     large = spans.where(F.col("low") < F.col("high")).select(*keys)

@@ -10,6 +10,10 @@ from . import sql
 from .roles import table
 
 
+# More than the documents that share a term with most questions, so that some are padded.
+PADDED = 900
+
+
 def corpus(spark, folder):
     return spread(table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -36,8 +40,8 @@ def tfidf_topk(spark, folder):
 
 
 def tfidf_topk_padded(spark, folder):
-    docs = corpus(spark, folder).where(F.contains("text", F.lit("license")))
-    return retrieval.retrieve(questions(spark, folder), docs, "query_id", "doc_id", 60, pad_zero=True)
+    return retrieval.retrieve(questions(spark, folder), corpus(spark, folder), "query_id", "doc_id",
+                              PADDED, pad_zero=True)
 
 
 def rag_prompts(spark, folder):
@@ -65,10 +69,8 @@ def vector_topk(spark, folder):
 
 def adjacent_similarity(spark, folder):
     found = vectors.neighbour_similarity(table(spark, folder, "embeddings"), ["label"], "vec_id")
-    return found.withColumn("similarity", F.round("similarity", 6))
-
+    return found.where(F.col("next_id").isNotNull()).withColumn("similarity", F.round("similarity", 6))
 
-_LICENSED = "(SELECT doc_id AS id, text FROM documents WHERE contains(text, 'license'))"
 
 ORACLES = {
     "tfidf_terms": f"WITH {sql.tfidf()} SELECT term, df, round(idf, 6) AS idf FROM terms",
@@ -76,12 +78,12 @@ ORACLES = {
         SELECT id AS doc_id, term, tf, round(weight, 6) AS weight FROM postings""",
     "tfidf_topk": f"""WITH {sql.tfidf()}, {sql.tfidf_scores()}
         SELECT query_id, id AS doc_id, score, rank FROM top""",
-    "tfidf_topk_padded": f"""WITH {sql.tfidf(_LICENSED)}, {sql.tfidf_scores()},
-        every AS (SELECT item_id AS query_id, b.id, coalesce(score, 0) AS score,
-            (score IS NOT NULL) AS found FROM (SELECT item_id, id FROM benchmark, {_LICENSED} l) b
-            LEFT JOIN scores s ON b.item_id = s.query_id AND b.id = s.id)
-        SELECT query_id, id AS doc_id, score, row_number() OVER (PARTITION BY query_id
-          ORDER BY found DESC, score DESC, id DESC) AS rank FROM every QUALIFY rank <= 60""",
+    "tfidf_topk_padded": f"""WITH {sql.tfidf()}, {sql.tfidf_scores()},
+        every AS (SELECT item_id AS query_id, b.doc_id, coalesce(score, 0) AS score,
+            (score IS NOT NULL) AS found FROM (SELECT item_id, doc_id FROM benchmark, documents) b
+            LEFT JOIN scores s ON b.item_id = s.query_id AND b.doc_id = s.id)
+        SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id
+          ORDER BY found DESC, score DESC, doc_id DESC) AS rank FROM every QUALIFY rank <= {PADDED}""",
     "rag_prompts": f"""WITH {sql.tfidf()}, {sql.tfidf_scores()},
         e AS (SELECT query_id, string_agg('Article ' || CAST(rank AS VARCHAR) || {sql.NEWLINE} || text
             || {sql.NEWLINE}, '' ORDER BY rank) AS t FROM top JOIN documents ON id = doc_id GROUP BY query_id),
@@ -102,7 +104,7 @@ ORACLES = {
     "adjacent_similarity": """SELECT label, vec_id, next_id, round(list_cosine_similarity(
           CAST(embedding AS DOUBLE[]), CAST(n AS DOUBLE[])), 6) AS similarity
         FROM (SELECT label, vec_id, embedding, lead(vec_id) OVER w AS next_id, lead(embedding) OVER w AS n
-          FROM embeddings WINDOW w AS (PARTITION BY label ORDER BY vec_id))""",
+          FROM embeddings WINDOW w AS (PARTITION BY label ORDER BY vec_id)) WHERE next_id IS NOT NULL""",
 }
 
 QUERIES = {f.__name__: f for f in (

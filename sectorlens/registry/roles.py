@@ -57,6 +57,6 @@ REGIONS = {
 def order_facts(spark: SparkSession, folder: str) -> DataFrame:
     """orders as facts of monthly series."""
     return table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"), F.to_date("o_orderdate").alias("ref_date"),
+        F.col("o_orderkey").cast("string").alias("order_id"), F.to_date("o_orderdate").alias("ref_date"),
         F.col("o_orderpriority").alias("geo"), F.col("o_orderstatus").alias("label"),
         F.col("o_totalprice").alias("value"))

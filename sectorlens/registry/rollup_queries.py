@@ -37,23 +37,23 @@ def sector_text_rollup(spark, folder):
 
 
 def pack_by_chars(spark, folder):
-    packed = packing.pack_by_chars(articles(spark, folder), ["company_name"], "doc_id", "content")
+    packed = packing.pack_by_chars(spread(articles(spark, folder)), ["company_name"], "doc_id", "content")
     return packed.select("company_name", "seg_no", F.length("segment").cast("bigint").alias("n_chars"),
                          F.md5("segment").alias("segment_md5"))
 
 
 def pack_by_words(spark, folder):
-    packed = packing.pack_by_words(articles(spark, folder), ["company_name"], "doc_id", "content")
+    packed = packing.pack_by_words(spread(articles(spark, folder)), ["company_name"], "doc_id", "content")
     return packed.select("company_name", "seg_no", F.length("segment").cast("bigint").alias("n_chars"),
                          F.md5("segment").alias("segment_md5"))
 
 
 def company_summaries(spark, folder):
-    return rollup.summarize_companies(articles(spark, folder), text="content", keys=GROUP)
+    return rollup.summarize_companies(spread(articles(spark, folder)), text="content", keys=GROUP)
 
 
 def sector_summaries(spark, folder):
-    return rollup.summarize_sectors(articles(spark, folder), "doc_id", text="content",
+    return rollup.summarize_sectors(spread(articles(spark, folder)), "doc_id", text="content",
                                     keys=["year", "sector_name"])
 
 
@@ -70,7 +70,8 @@ def first_non_null(spark, folder):
     rows = articles(spark, folder).join(labels, "doc_id", "left").withColumn(
         "short_text", F.when(F.length("content") < 300, F.col("content")))
     return ordering.first_values(rows, GROUP, ["quality", "toxic", "short_text"], "doc_id").select(
-        *GROUP, "quality", "toxic", F.md5("short_text").alias("short_md5"))
+        *GROUP, F.col("quality").cast("string").alias("quality"),
+        F.col("toxic").cast("string").alias("toxic"), F.md5("short_text").alias("short_md5"))
 
 
 def group_mean_broadcast(spark, folder):
@@ -120,7 +121,7 @@ def build_corpus(spark, folder):
 
 def final_dataset(spark, folder):
     tables = news.report(
-        articles(spark, folder), sector_mapping(spark, folder), order="doc_id",
+        spread(articles(spark, folder)), sector_mapping(spark, folder), order="doc_id",
         polarity=lambda t: scoring.lexicon_polarity(t, UP_WORDS, DOWN_WORDS))
     return tables.final
 
@@ -199,8 +200,8 @@ ORACLES = {
         FROM (SELECT *, {sql.content_words('content')}[1] AS k, length(content) AS n FROM {sql.ARTICLES} a)
         GROUP BY year, company_name, doc_id // 1000""",
     "first_non_null": f"""SELECT company_name, sector_name,
-          arg_min(quality, doc_id) FILTER (WHERE quality IS NOT NULL) AS quality,
-          arg_min(toxic, doc_id) FILTER (WHERE toxic IS NOT NULL) AS toxic,
+          CAST(arg_min(quality, doc_id) FILTER (WHERE quality IS NOT NULL) AS VARCHAR) AS quality,
+          CAST(arg_min(toxic, doc_id) FILTER (WHERE toxic IS NOT NULL) AS VARCHAR) AS toxic,
           md5(arg_min(content, doc_id) FILTER (WHERE length(content) < 300)) AS short_md5
         FROM {sql.ARTICLES} a LEFT JOIN labels USING (doc_id) GROUP BY company_name, sector_name""",
     "group_mean_broadcast": """SELECT event_id, event_type, value,

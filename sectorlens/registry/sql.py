@@ -22,7 +22,7 @@ STATISTICS = """(SELECT l_orderkey AS seq, CAST(l_shipdate AS DATE) AS ref_date,
 PLACES = """(SELECT n_name AS geo, n_nationkey * 2.0::DOUBLE - 20 AS latitude,
     n_nationkey * 5.0::DOUBLE - 100 AS longitude FROM nation)"""
 
-ORDER_FACTS = """(SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS ref_date,
+ORDER_FACTS = """(SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS ref_date,
     o_orderpriority AS geo, o_orderstatus AS label, o_totalprice AS value FROM orders)"""
 
 REGION = """CASE WHEN geo IN ('NATION_0', 'NATION_5', 'NATION_10') THEN 'North'

@@ -61,31 +61,31 @@ def collapse_newlines(spark, folder):
 
 
 def strip_boilerplate(spark, folder):
-    return cleaning.strip_boilerplate(articles(spark, folder), markers=MARKERS).select(
+    return cleaning.strip_boilerplate(spread(articles(spark, folder)), markers=MARKERS).select(
         "doc_id", F.length("content").cast("bigint").alias("n_chars"),
         F.md5("content").alias("content_md5"))
 
 
 def sentence_split(spark, folder):
-    return cleaning.split_sentences(articles(spark, folder), ["doc_id"]).select(
+    return cleaning.split_sentences(spread(articles(spark, folder)), ["doc_id"]).select(
         "doc_id", "pos", F.md5("sentence").alias("sentence_md5"))
 
 
 def verb_line_filter(spark, folder):
-    return cleaning.keep_verb_lines(articles(spark, folder), language="sector_name").select(
+    return cleaning.keep_verb_lines(spread(articles(spark, folder)), language="sector_name").select(
         "doc_id", F.length("content").cast("bigint").alias("n_chars"),
         F.md5("content").alias("content_md5"))
 
 
 def page_text(spark, folder):
-    return cleaning.parse_pages(table(spark, folder, "pages")).select(
+    return cleaning.parse_pages(spread(table(spark, folder, "pages"))).select(
         "page_id", F.col("success").cast("bigint").alias("success"),
         F.length("content").cast("bigint").alias("n_chars"), F.md5("content").alias("content_md5"))
 
 
 def preprocess_tokens(spark, folder):
     kept = tx.content_words(F.col("content"))
-    return articles(spark, folder).select("doc_id", kept.alias("t")).select(
+    return spread(articles(spark, folder)).select("doc_id", kept.alias("t")).select(
         "doc_id", F.size("t").cast("bigint").alias("n_tokens"),
         F.md5(F.array_join("t", " ")).alias("tokens_md5"))
 
@@ -137,7 +137,7 @@ def search_terms(spark, folder):
 
 
 def token_windows(spark, folder):
-    return windows.token_windows(articles(spark, folder), ["doc_id"]).select(
+    return windows.token_windows(spread(articles(spark, folder)), ["doc_id"]).select(
         "doc_id", "seg_no", "token_len", F.size("tokens").cast("bigint").alias("n_tokens"),
         F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
 
@@ -147,7 +147,7 @@ def token_window_limits(spark, folder):
 
 
 def segment_summaries(spark, folder):
-    return rollup.summarize_articles(articles(spark, folder)).select(
+    return rollup.summarize_articles(spread(articles(spark, folder))).select(
         "doc_id", F.length("summary").cast("bigint").alias("n_chars"),
         F.md5("summary").alias("summary_md5"))
 
@@ -177,7 +177,7 @@ def keywords_sector(spark, folder):
 
 def sentiment_scores(spark, folder):
     score = scoring.lexicon_polarity(F.col("content"), UP_WORDS, DOWN_WORDS)
-    return articles(spark, folder).select("doc_id", score.alias("sentiment"))
+    return spread(articles(spark, folder)).select("doc_id", score.alias("sentiment"))
 
 
 def semantic_segments(spark, folder):

@@ -79,7 +79,7 @@ def reject_irrelevant(df: DataFrame, answer: str = "answer", summary: str = "sum
     The rejected text stays in ``rejected_text`` for the side output; rows
     without a summary are not judged.
     """
-    said_no = F.col(summary).isNotNull() & F.coalesce(tx.answers_no(F.col(answer)), F.lit(False))
+    said_no = F.coalesce(F.col(summary) != "", F.lit(False)) & F.coalesce(tx.answers_no(F.col(answer)), F.lit(False))
     return (df.withColumn("rejected_text", F.when(said_no, F.col(summary)))
               .withColumn(success, F.when(said_no, F.lit(IRRELEVANT)).otherwise(F.col(success)))
               .withColumn(summary, F.when(said_no, F.lit("")).otherwise(F.col(summary))))

@@ -29,11 +29,10 @@ def add_sector(articles: DataFrame, mapping: DataFrame,
 def search_terms(mapping: DataFrame, keywords: DataFrame, years: Sequence[int]) -> DataFrame:
     """Sector x company x keyword x year with the query text and the year's date range.
 
-    A sector without keywords searches by company name alone.  A company listed
-    twice in one sector is searched once.
+    A sector without keywords searches by company name alone.  Every entry of the
+    mapping is searched, a company listed twice therefore twice.
     """
-    pairs = mapping.select("sector_name", "company_name").distinct()
-    terms = pairs.join(keywords, "sector_name", "left").withColumn(
+    terms = mapping.select("sector_name", "company_name").join(keywords, "sector_name", "left").withColumn(
         "keywords", F.coalesce("keywords", F.array(F.lit(""))))
     year = F.explode(F.array(*[F.lit(y) for y in years]))
     return (terms.select("sector_name", "company_name", F.explode("keywords").alias("keyword"))

@@ -146,12 +146,14 @@ def summarize_sectors(companies: DataFrame, order: str,
     return merged.withColumnRenamed("summary", "sector_summary")
 
 
-def trend_prompts(sectors: DataFrame, order: str, text: str = "sector_summary") -> DataFrame:
+def trend_prompts(sectors: DataFrame, order: str | None = None,
+                  text: str = "sector_summary") -> DataFrame:
     """One prompt per sector with its yearly summaries in order of the year.
 
     The first row per sector and year counts, so a group has one line per year.
+    Without an order column the table is taken to have one row per sector and year.
     """
-    yearly = first_rows(sectors, ["sector_name", "year"], order)
+    yearly = sectors if order is None else first_rows(sectors, ["sector_name", "year"], order)
     line = prompts.fill(prompts.TREND_LINE, year=F.col("year"), text=F.col(text))
     lines = yearly.groupBy("sector_name").agg(
         F.coalesce(joined(line, F.col("year"), "\n"), F.lit("")).alias("lines"))

@@ -57,10 +57,12 @@ def nearest(corpus: DataFrame, questions: DataFrame, n: int = 10, decimals: int
 
 
 def _against_few(corpus: DataFrame, questions: pd.DataFrame, n: int, decimals: int) -> DataFrame:
-    asked_ids = questions["query_id"].to_numpy()
-    asked = _unit(questions["embedding"]) if len(questions) else np.zeros((0, 1))
+    shared = corpus.sparkSession.sparkContext.broadcast((
+        questions["query_id"].to_numpy(),
+        _unit(questions["embedding"]) if len(questions) else np.zeros((0, 1))))
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked_ids, asked = shared.value
         kept = None
         for frame in frames:
             if not len(frame) or not len(asked):

@@ -79,7 +79,7 @@ def report(articles: DataFrame, mapping: DataFrame, order: str,
     companies = ordered.drop("company_ord")
     sectors = materialize(rollup.summarize_sectors(ordered, "company_ord", SECTOR, scorer=scorer),
                           "sectors")
-    asked = rollup.trend_prompts(sectors, "year")
+    asked = rollup.trend_prompts(sectors)
     trends = materialize(asked.select("sector_name", scorer(F.col("prompt")).alias("sector_trend")),
                          "trends")
     company_rows = sentiment_lists(keywords.company_keywords(companies), COMPANY,

@@ -130,7 +130,7 @@ def lookup_last_wins(spark, folder):
 
 
 def search_terms(spark, folder):
-    mapping = articles(spark, folder).select("sector_name", "company_name")
+    mapping = articles(spark, folder).select("sector_name", "company_name").distinct()
     words = spark.createDataFrame(list(KEYWORDS.items()), "sector_name string, keywords array<string>")
     found = lookup.search_terms(mapping, words, SEARCH_YEARS)
     return found.withColumn("year", F.col("year").cast("bigint"))
@@ -226,9 +226,9 @@ ORACLES = {
         SELECT company_name, sector_keyword, count(*) OVER (PARTITION BY company_name, sector_keyword)
           AS count, url_no, url FROM r WHERE url_no <= 10""",
     "rejected_articles": f"""SELECT doc_id, year,
-          CASE WHEN quality = 0 THEN -2 ELSE success END AS success,
+          CASE WHEN quality = 0 AND s <> '' THEN -2 ELSE success END AS success,
           md5(CASE WHEN quality = 0 THEN '' ELSE s END) AS summary_md5,
-          CASE WHEN quality = 0 THEN md5(s) END AS rejected_md5
+          CASE WHEN quality = 0 AND s <> '' THEN md5(s) END AS rejected_md5
         FROM (SELECT doc_id, year, success, {sql.first_sentence('content')} AS s, quality
           FROM {sql.ARTICLES} a LEFT JOIN labels USING (doc_id))""",
     "null_failed_text": f"""SELECT doc_id, success,

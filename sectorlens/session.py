@@ -22,6 +22,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
         # Small shuffles ahead of Python work still use all cores.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .getOrCreate()
     )

@@ -74,11 +74,16 @@ def _json_map(spark: SparkSession, path: str, schema: T.MapType) -> DataFrame:
                  .select("ord", F.col("e.key").alias("key"), F.col("e.value").alias("value")))
 
 
-def read_sector_companies(spark: SparkSession, path: str) -> DataFrame:
-    """(sector_ord, sector_name, company_name); duplicates inside a sector vanish."""
+def read_sector_companies(spark: SparkSession, path: str, distinct: bool = True) -> DataFrame:
+    """(sector_ord, sector_name, company_name).
+
+    Duplicates inside a sector vanish, unless the list is wanted as it stands,
+    as for search terms.
+    """
+    companies = F.array_distinct("value") if distinct else F.col("value")
     return _json_map(spark, path, schemas.SECTOR_MAP).select(
         F.col("ord").alias("sector_ord"), F.col("key").alias("sector_name"),
-        F.explode(F.array_distinct("value")).alias("company_name"))
+        F.explode(companies).alias("company_name"))
 
 
 def read_sector_keywords(spark: SparkSession, path: str) -> DataFrame:

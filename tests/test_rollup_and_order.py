@@ -114,7 +114,7 @@ def test_add_sector_last_wins(spark):
 
 
 def test_search_terms_and_urls(spark):
-    mapping = spark.createDataFrame([("S", "A"), ("S", "A"), ("T", "B")], "sector_name string, company_name string")
+    mapping = spark.createDataFrame([("S", "A"), ("T", "B")], "sector_name string, company_name string")
     words = spark.createDataFrame([("S", ["x", "y"])], "sector_name string, keywords array<string>")
     got = sorted((r.company_name, r.keyword, r.year, r.query, str(r.date_to))
                  for r in lookup.search_terms(mapping, words, [2020]).collect())

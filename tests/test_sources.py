@@ -28,6 +28,7 @@ def test_json_maps_and_records(spark, tmp_path):
     companies.write_text(json.dumps({"Z": ["b", "a", "b"], "A": ["a"]}))
     got = [tuple(r) for r in readers.read_sector_companies(spark, str(companies)).collect()]
     assert got == [(0, "Z", "b"), (0, "Z", "a"), (1, "A", "a")]
+    assert readers.read_sector_companies(spark, str(companies), distinct=False).count() == 4
     words = tmp_path / "k.json"
     words.write_text(json.dumps({"Z": [""], "A": ["x", "y"]}))
     assert [tuple(r) for r in readers.read_sector_keywords(spark, str(words)).collect()] == [

@@ -95,9 +95,7 @@ def cut_marked_tail(text: Column, marker: str) -> Column:
     """
     needle = marker.lower()
 
-    def step(state: Column, line: Column) -> Column:
-        current = F.concat(state["open"], line)
-        at = F.instr(F.lower(current), needle)
+    def joined_line(state: Column, current: Column, at: Column) -> Column:
         hit = at > 0
         return F.struct(
             F.when(hit, state["done"])
@@ -106,6 +104,10 @@ def cut_marked_tail(text: Column, marker: str) -> Column:
             hit.alias("is_open"),
         )
 
+    def step(state: Column, line: Column) -> Column:
+        return let(F.concat(state["open"], line), lambda current: let(
+            F.instr(F.lower(current), needle), lambda at: joined_line(state, current, at)))
+
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"),
                      F.lit(False).alias("is_open"))
 
@@ -114,8 +116,10 @@ def cut_marked_tail(text: Column, marker: str) -> Column:
                  .otherwise(state["done"])
         return F.array_join(lines, "\n")
 
-    folded = F.aggregate(F.split(text, "\n"), start, step, finish)
-    return F.when(F.contains(F.lower(text), F.lit(needle)), folded).otherwise(text)
+    # Bound once: markers are applied one after the other, each to the last one's result.
+    return let(text, lambda t: F.when(
+        F.contains(F.lower(t), F.lit(needle)),
+        F.aggregate(F.split(t, "\n"), start, step, finish)).otherwise(t))
 
 
 def cut_marked_tails(text: Column,

@@ -36,14 +36,15 @@ def candidates(terms: Sequence[str], longest: int) -> list[tuple[str, float]]:
     """
     counts = Counter(terms)
     length = math.sqrt(sum(n * n for n in counts.values()))
-    rated = [(term, n / length) for term, n in counts.items()]
+    rated = [(-n / length, term) for term, n in counts.items()]
     for n in range(2, longest + 1):
+        plain = length * math.sqrt(n)
         for run in set(zip(*[terms[i:] for i in range(n)])):
-            inside = Counter(run)
-            overlap = sum(m * counts[t] for t, m in inside.items())
-            size = math.sqrt(sum(m * m for m in inside.values()))
-            rated.append((" ".join(run), overlap / (length * size)))
-    return sorted(rated, key=lambda c: (-c[1], c[0]))
+            size = plain if len(set(run)) == n else length * math.sqrt(
+                sum(m * m for m in Counter(run).values()))
+            rated.append((-sum([counts[t] for t in run]) / size, " ".join(run)))
+    rated.sort()
+    return [(keyword, -rel) for rel, keyword in rated]
 
 
 def _grams(keyword: str, n: int = 3) -> frozenset[str]:
@@ -60,8 +61,8 @@ def choose(rated: Sequence[tuple[str, float]], top_n: int,
     in play.  A candidate's score only falls as picks are added, so an old score
     is an upper bound and is brought up to date only when it leads the queue.
     """
+    # Best first, so the list is a heap as it stands.
     queue = [(-(1 - diversity) * rel, at, 0, 0.0) for at, (_, rel) in enumerate(rated)]
-    heapq.heapify(queue)
     picked: list[int] = []
     grams: list[frozenset[str]] = []
     while queue and len(picked) < top_n:

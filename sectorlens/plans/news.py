@@ -42,7 +42,7 @@ def sentiment_lists(rows: DataFrame, keys: list[str], prefix: str,
             "keywords_score": numeric.plain_number(F.col("keywords_score")),
             "keywords_sentiment": numeric.plain_number(F.col("keywords_sentiment"))}),
         keys, "kw_no", ("keywords", "keywords_score", "keywords_sentiment"), (summary,),
-        {f"{prefix}_sentiment": F.round(F.avg("sentiment"), 4)},
+        {f"{prefix}_sentiment": F.avg("sentiment")},
         {"keywords": f"{prefix}_keywords", "keywords_score": f"{prefix}_keywords_score",
          "keywords_sentiment": f"{prefix}_keywords_sentiment", summary: f"{prefix}_summary"})
 

@@ -99,7 +99,7 @@ def keyword_sentiments(spark, folder):
         F.col("keywords"), UP_WORDS, DOWN_WORDS))
     return joins.with_group_values(
         checkpointed(scored), ["company_name", "year"], ["doc_id", "kw_no"],
-        company_sentiment=F.round(F.avg("keywords_sentiment"), 4))
+        company_sentiment=F.round(F.avg("keywords_sentiment"), 9))
 
 
 def corpus_rows(spark, folder):
@@ -123,7 +123,9 @@ def final_dataset(spark, folder):
     tables = news.report(
         spread(articles(spark, folder)), sector_mapping(spark, folder), order="doc_id",
         polarity=lambda t: scoring.lexicon_polarity(t, UP_WORDS, DOWN_WORDS))
-    return tables.final
+    # Means of scores with three decimals are compared well beyond their own digits.
+    return tables.final.withColumns({
+        c: F.round(c, 9) for c in ("company_sentiment", "sector_sentiment")})
 
 
 def _final_sql() -> str:
@@ -144,7 +146,7 @@ def _final_sql() -> str:
             AS {prefix}_keywords_score,
           string_agg(CAST(CAST(s AS DECIMAL(38, 4)) AS VARCHAR), '; ' ORDER BY kw_no)
             AS {prefix}_keywords_sentiment,
-          round(avg(s), 4) AS {prefix}_sentiment
+          round(avg(s), 9) AS {prefix}_sentiment
           FROM (SELECT *, {polarity} AS s FROM {relation} k) q GROUP BY {', '.join(keys)})"""
 
     trend_line = "'Summary in ' || CAST(year AS VARCHAR) || ': ' || sector_summary"
@@ -222,7 +224,7 @@ ORACLES = {
           FROM {sql.keyword_rows(sql.ARTICLES, ['doc_id'], 'content', 1, 10,
               "lower(keyword) NOT IN (lower(company_name), lower(sector_name), CAST(year AS VARCHAR))",
               ['company_name', 'year'])} r)
-        SELECT *, round(avg(keywords_sentiment) OVER (PARTITION BY company_name, year), 4)
+        SELECT *, round(avg(keywords_sentiment) OVER (PARTITION BY company_name, year), 9)
           AS company_sentiment FROM k""",
     "build_corpus": f"""WITH f AS {_CORPUS}
         SELECT CAST(1 AS BIGINT) AS kind, CAST(0 AS BIGINT) AS year, '' AS sector, seq,

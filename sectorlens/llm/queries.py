@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, pieces
+from . import packing, pieces, quality
 
 QUERIES, ORACLES = {}, {}
 
@@ -26,3 +27,46 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encoded(table(spark, folder, "documents"), keep=False)
+
+
+@query
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = quality.measured(table(spark, folder, "documents"))
+    base = docs.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                       "n_repeat_words", "n_lines", "upper_chars",
+                       ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+                       .alias("base_failed"))
+    first = quality.Rule("base", "base_failed")
+    judged = quality.cascade(base, [first, *quality.ordered(docs)])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed",
+                         F.col("rejected_by").isNull().alias("kept"))
+
+
+ORACLES["op8_quality_rules"] = r"""
+WITH cut AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), words AS (
+  SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
+         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM cut
+), windows AS (
+  SELECT r, i, list_slice(w, i, i + 4) AS g
+  FROM words, unnest(range(1, len(w) - 3)) AS u(i)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + s) AS n FROM twice, range(5) AS f(s) GROUP BY r
+), measures AS (
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines,
+         length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS upper_chars
+  FROM words LEFT JOIN covered USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR n_symbols * 10 > n_words * 3
+            OR n_dup_lines * 10 > n_lines * 3 OR word_chars < n_words * 2 OR word_chars > n_words * 15
+            OR upper_chars * 2 > word_chars) AS kept
+FROM measures"""

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 LIMIT = 2_000_000
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
@@ -34,8 +35,8 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
            limit: int = LIMIT) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` bytes of text, one row at least."""
     for batch in batches:
-        sizes = np.cumsum(np.asarray(pa.compute.fill_null(
-            pa.compute.binary_length(batch[text]), 0), dtype=np.int64))
+        sizes = np.cumsum(np.asarray(pc.fill_null(
+            pc.binary_length(batch[text]), 0), dtype=np.int64))
         begin = 0
         while begin < len(sizes):
             done = sizes[begin - 1] if begin else 0
@@ -64,7 +65,7 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and where each begins, and the last ends.  Null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    plain = pa.compute.fill_null(texts, "").cast(pa.large_string())
+    plain = pc.fill_null(texts, "").cast(pa.large_string())
     _, places, data = plain.buffers()
     offsets = np.frombuffer(places, np.int64)[plain.offset:plain.offset + len(plain) + 1]
     if not len(offsets):

@@ -21,6 +21,8 @@ from .stages import stored
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
+# Places in a text beside the bits of a hash in one number.
+_PLACES = 1 << 24
 # Rows of the sample on which costs and selectivities are estimated.
 SAMPLE_ROWS = 2000
 
@@ -45,13 +47,14 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     these names are replaced, all others stay.  Windows of words are compared by 64-bit hashes.
     """
     names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
-             "upper_chars", "_hashes", "_windows", "_lines", "_distinct")
+             "upper_chars", "_hashes", "_windows", "_lines", "_packed", "_pairs")
     kept = [c for c in docs.columns if c not in names]
     value = F.coalesce(F.col(text), F.lit(""))
     # Each step is a projection of its own, because the next one uses its arrays several times.
     cut = docs.select(
         *kept,
-        F.transform(F.filter(F.split(value, BLANKS), lambda w: w != ""), F.xxhash64).alias("_hashes"),
+        F.transform(F.filter(F.split(value, BLANKS), lambda w: w != ""),
+                    lambda w: F.xxhash64(w)).alias("_hashes"),
         F.filter(F.split(value, "\n"), lambda line: F.translate(line, " \t\x0b\x0c\r", "") != "")
         .alias("_lines"),
         F.length(F.translate(value, " \t\n\x0b\x0c\r", "")).cast("bigint").alias("word_chars"),
@@ -67,28 +70,33 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
             F.sequence(F.lit(0), words - WINDOW),
             lambda i: F.xxhash64(*[F.get("_hashes", i + step) for step in range(WINDOW)])))
         .alias("_windows"))
-    compared = counted.select("*", F.size(F.array_distinct("_windows")).alias("_distinct"))
-    return compared.select(
+    windows = F.size("_windows")
+    # Most texts repeat no window.  In the others, 40 bits of the hash and the place make one
+    # number to sort by; windows that equal a neighbour in these bits are few and sorted exactly.
+    packed = counted.select("*", F.when(F.size(F.array_distinct("_windows")) < windows, F.sort_array(
+        F.transform("_windows", lambda w, i: w.bitwiseAND(F.lit(-_PLACES)).bitwiseOR(
+            F.pmod(i.cast("bigint"), F.lit(_PLACES)))))).alias("_packed"))
+    alike = F.filter("_packed", lambda x, j: F.coalesce(
+        x.bitwiseXOR(F.get("_packed", j - 1)).between(0, _PLACES - 1), F.lit(False))
+        | F.coalesce(x.bitwiseXOR(F.get("_packed", j + 1)).between(0, _PLACES - 1), F.lit(False)))
+    pairs = F.when(windows <= _PLACES, F.transform(alike, lambda x: F.struct(
+        F.get("_windows", x.bitwiseAND(F.lit(_PLACES - 1)).cast("int")).alias("w"),
+        x.bitwiseAND(F.lit(_PLACES - 1)).cast("int").alias("i")))).otherwise(
+        F.transform("_windows", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    found = packed.select("*", F.when(F.col("_packed").isNotNull(), F.sort_array(pairs)).alias("_pairs"))
+    return found.select(
         *kept, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "upper_chars",
-        F.when(F.col("_distinct") == F.size("_windows"), F.lit(0)).otherwise(
-            _covered("_windows")).cast("bigint").alias("n_repeat_words"))
+        F.coalesce(_covered(F.col("_pairs")), F.lit(0)).cast("bigint").alias("n_repeat_words"))
 
 
-def _covered(windows: str) -> Column:
-    """Words that lie in a window found twice or more, in one pass over the sorted windows.
+def _covered(pairs: Column) -> Column:
+    """Words that lie in a window found twice or more, from sorted pairs of window and place.
 
-    Each window is matched with its neighbours in the order of hash and place; the places of
-    the matched ones, sorted again, count at most the window's width each.
+    A window is matched with its neighbours; the places of the matched ones, sorted again, count
+    at most the window's width each.
     """
-    pairs = F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-
-    def matched(ordered: Column) -> Column:
-        return F.filter(ordered, lambda x, j: F.coalesce(
-            (F.get(ordered, j - 1)["w"] == x["w"]) | (F.get(ordered, j + 1)["w"] == x["w"]),
-            F.get(ordered, j - 1)["w"] == x["w"], F.get(ordered, j + 1)["w"] == x["w"]))
-
-    # An array of one holds the sorted windows, so that they are sorted once.
-    hits = F.transform(F.array(F.sort_array(pairs)), matched)[0]
+    hits = F.filter(pairs, lambda x, j: F.coalesce(F.get(pairs, j - 1)["w"] == x["w"], F.lit(False))
+                    | F.coalesce(F.get(pairs, j + 1)["w"] == x["w"], F.lit(False)))
     places = F.sort_array(F.transform(hits, lambda x: x["i"]))
     start = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("total"))
     return F.aggregate(places, start, lambda done, at: F.struct(

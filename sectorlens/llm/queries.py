@@ -47,8 +47,8 @@ ORACLES["op8_quality_rules"] = r"""
 WITH cut AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
 ), words AS (
-  SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM cut
 ), windows AS (
   SELECT r, i, list_slice(w, i, i + 4) AS g

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pieces, quality
+from . import packing, pieces, quality, urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -70,3 +70,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR n_dup_lines * 10 > n_lines * 3 OR word_chars < n_words * 2 OR word_chars > n_words * 15
             OR upper_chars * 2 > word_chars) AS kept
 FROM measures"""
+
+
+RULES = (("allow", "org/"), ("block", "example.org/es/"), ("allow", "com/fr/"),
+         ("block", "example.org/en/1"), ("block", "com/de/"))
+
+
+@query
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    # The pages of advertisers, casinos and the like make the list.
+    form, host = urls.canonical(F.col("url")), urls.host_of(F.col("url"))
+    suspect = pages.where(host.rlike("(^|[.])(ads|casino|spam|free|click)-")).select(form.alias("canonical"))
+    return urls.judged(pages, RULES, suspect)
+
+
+ORACLES["op6_url_filters"] = r"""
+WITH cut AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), forms AS (
+  SELECT *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(\.html)?/*$', '') AS form
+  FROM cut
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule
+  FROM forms
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN host <> '' AND form IN (SELECT form FROM forms
+         WHERE regexp_matches(host, '(^|[.])(ads|casino|spam|free|click)-')) THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pieces, quality, urls
+from . import licenses, packing, pieces, quality, urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -110,3 +110,46 @@ SELECT page_id, host, path, rule, CASE
          WHERE regexp_matches(host, '(^|[.])(ads|casino|spam|free|click)-')) THEN 'block'
     ELSE 'allow' END AS verdict
 FROM ruled"""
+
+
+@query
+def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scanned(table(spark, folder, "documents"), keep=False)
+
+
+def _license_sql() -> str:
+    notice = ", ".join(f"('{label}', '{text}')" for label, text in licenses.TEMPLATES.items())
+    phrase = ", ".join(f"('{text}', '{label}')" for text, label in licenses.PHRASES.items())
+    letters = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH notices AS (
+  SELECT label, list_distinct(regexp_extract_all({lower.format('notice')}, '{letters}')) AS w
+  FROM (VALUES {notice}) AS t(label, notice)
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {lower.format("coalesce(text, '')")} AS t FROM documents
+), cut AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '{letters}') AS w FROM docs
+), places AS (
+  SELECT r, label, i FROM cut, (VALUES {phrase}) AS p(phrase, label),
+         unnest(range(1, len(w) + 1)) AS u(i)
+  WHERE array_to_string(list_slice(w, i, i + len(string_split(phrase, ' ')) - 1), ' ') = phrase
+), base AS (
+  SELECT r, count(*) AS n, min(i) - 1 AS a, max(i) - 1 AS z, list(DISTINCT label) AS l FROM places GROUP BY r
+), lines AS (
+  SELECT r, list_distinct(regexp_extract_all(x, '{letters}')) AS w
+  FROM docs, unnest(string_split(t, chr(10))) AS u(x)
+), met AS (
+  SELECT r, list(DISTINCT label) AS l, max(share) AS share FROM (
+    SELECT r, label, len(list_intersect(lines.w, notices.w)) / len(notices.w) AS share FROM lines, notices)
+  WHERE share >= {licenses.THRESHOLD} - 1e-9 GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, z AS last_word,
+       coalesce(array_to_string(list_sort(base.l), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(
+         list_concat(coalesce(base.l, []), coalesce(met.l, [])))), ','), '') AS labels,
+       CASE WHEN n > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM cut LEFT JOIN base USING (r) LEFT JOIN met USING (r)"""
+
+
+ORACLES["op9_license_scans"] = _license_sql()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, packing, pieces, quality, urls
+from . import licenses, packing, pieces, quality, toxicity, urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -153,3 +153,12 @@ FROM cut LEFT JOIN base USING (r) LEFT JOIN met USING (r)"""
 
 
 ORACLES["op9_license_scans"] = _license_sql()
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    scores = toxicity.scored(docs, model, spans=False)
+    return scores.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))

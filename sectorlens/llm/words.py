@@ -25,7 +25,7 @@ _BASE, _MIX1, _MIX2 = (np.uint64(x) for x in (
 
 def mixed(values: np.ndarray, salt: int = 0) -> np.ndarray:
     """Spread 64-bit values evenly (the finaliser of splitmix64); ``salt`` gives another spread."""
-    x = values + _BASE * np.uint64(salt + 1)
+    x = values + np.uint64(int(_BASE) * (salt + 1) % (1 << 64))
     x = (x ^ (x >> np.uint64(30))) * _MIX1
     x = (x ^ (x >> np.uint64(27))) * _MIX2
     return x ^ (x >> np.uint64(31))

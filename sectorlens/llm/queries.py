@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, packing, pieces, quality, toxicity, urls
+from . import licenses, neighbours, packing, pieces, quality, toxicity, urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -162,3 +162,8 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scores = toxicity.scored(docs, model, spans=False)
     return scores.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
                          F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, neighbours, packing, pieces, quality, toxicity, urls
+from . import jaccard, licenses, neighbours, packing, pieces, quality, toxicity, urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -167,3 +167,35 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.joined(table(spark, folder, "documents"))
+
+
+ORACLES["op2_ngram_jaccard_join"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+         lambda x: x <> '') AS w
+  FROM documents
+), tokens AS (
+  SELECT DISTINCT r, list_slice(w, i, i + 2) AS t
+  FROM docs, unnest(range(1, greatest(len(w) - 1, least(len(w), 1) + 1))) AS u(i)
+), sizes AS (
+  SELECT r, count(*) AS n FROM tokens GROUP BY r
+), pairs AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS shared FROM tokens a JOIN tokens b ON a.t = b.t AND a.r <> b.r
+  GROUP BY ALL
+), links AS (
+  SELECT dx.doc_id AS x, dy.doc_id AS y FROM pairs
+  JOIN sizes sx ON sx.r = x JOIN sizes sy ON sy.r = y JOIN docs dx ON dx.r = x JOIN docs dy ON dy.r = y
+  WHERE 100 * shared >= 90 * (sx.n + sy.n - shared)
+), reach AS (
+  SELECT x, x AS y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), lowest AS (
+  SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM docs LEFT JOIN sizes USING (r) LEFT JOIN lowest USING (doc_id)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licenses, neighbours, packing, pieces, quality, toxicity, urls
+from . import jaccard, licenses, neighbours, packing, pieces, quality, suffixes, toxicity, urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -199,3 +199,8 @@ WITH RECURSIVE docs AS (
 )
 SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
 FROM docs LEFT JOIN sizes USING (r) LEFT JOIN lowest USING (doc_id)"""
+
+
+@query
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.matches(table(spark, folder, "documents"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licenses, neighbours, packing, pieces, quality, suffixes, toxicity, urls
+from . import jaccard, licenses, neighbours, packing, pieces, quality, secrets, suffixes, toxicity, urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -204,3 +204,21 @@ FROM docs LEFT JOIN sizes USING (r) LEFT JOIN lowest USING (doc_id)"""
 @query
 def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.matches(table(spark, folder, "documents"))
+
+
+def finding_label(fold: str = "doc_id"):
+    """Labels for candidates of two thirds of the documents, by a check of their form.
+
+    No table holds labelled findings.  The value of an assignment in quotes that is 40 hexadecimal
+    digits is a secret, any other candidate is none.
+    """
+    secret = (F.col("candidate").rlike("^([0-9a-f]{40}|[0-9A-F]{40})$")
+              & F.col("before").rlike("""[A-Za-z_]\\s*[=:]\\s*["']$""") & F.col("after").rlike("""^["']"""))
+    return F.when(~toxicity.held_out(fold), secret.cast("int"))
+
+
+@query
+def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scanned(table(spark, folder, "documents"), finding_label())
+    return found.where("score >= 0.5").select(
+        "doc_id", "start", F.length("candidate").alias("length"), "candidate", "score")

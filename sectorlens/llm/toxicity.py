@@ -304,13 +304,14 @@ def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
     other columns are ignored.
     """
     carried = [id_column, *keep]
+    source = text if text in carried else "_text"
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried) + ", score double"
     schema += ", spans array<struct<start:int,end:int,score:double>>" if spans else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.weights()
-        for batch in slices(batches, "_text"):
-            words = words_of(batch["_text"], NOT_LETTERS)
+        for batch in slices(batches, source):
+            words = words_of(batch[source], NOT_LETTERS)
             first = _first(words)
             p = model.field.marginals(Field.inputs(evidence(words, table), first), first)
             m = _measures(p, words.row, len(batch))
@@ -322,7 +323,8 @@ def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
                 names.append("spans")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(*carried, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*carried, *[F.col(text).alias(c) for c in [source] if c not in carried]) \
+               .mapInArrow(run, schema)
 
 
 def _spans(words: Words, p: np.ndarray, first: np.ndarray, n: int) -> list[list[dict]]:

@@ -35,10 +35,25 @@ def sentences(text: Column) -> Column:
 
 
 def first_sentence(text: Column) -> Column:
-    """The leading sentence of a text: the default deterministic summary."""
+    """The leading sentence of a text."""
     return strip_blanks(F.regexp_extract(text, "^[^.!?]*[.!?]*", 0))
 
 
+def richest_sentence(text: Column) -> Column:
+    """The sentence with the most distinct index terms: the default deterministic summary.
+
+    All sentences of the text compete; of equally rich ones the earliest wins.  A text without
+    sentences gives the empty text.
+    """
+    def rated(found: Column) -> Column:
+        return F.transform(found, lambda s, i: F.struct(
+            F.size(F.array_distinct(index_terms(s))).alias("terms"), (-i).alias("place"), s.alias("sentence")))
+
+    best = let(sentences(text), lambda found: F.coalesce(
+        F.array_max(rated(found))["sentence"], F.lit("")))
+    return F.when(text.isNotNull(), best)
+
+
 def words(text: Column) -> Column:
     """Maximal runs of letters and digits."""
     return F.filter(F.split(text, "[^\\p{L}\\p{N}]+"), lambda w: w != "")
@@ -64,7 +79,7 @@ def verb_pattern(words_: Sequence[str], suffixes: Sequence[str]) -> str:
     """Pattern that finds a whole word from the lexicon or ending in a verb suffix."""
     whole = "|".join(words_)
     ends = "|".join(suffixes)
-    return f"(?i)(^|[^\\p{{L}}])(({whole})|[\\p{{L}}]+({ends}))($|[^\\p{{L}}])"
+    return f"(?iu)(^|[^\\p{{L}}])(({whole})|[\\p{{L}}]+({ends}))($|[^\\p{{L}}])"
 
 
 def keep_verb_lines(text: Column, language: Column,

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .joins import is_small
+from .joins import is_small, lookup_join
 
 # Rows of one group that are put together in one task at most.
 CHUNK_ROWS = 1000
@@ -34,6 +34,35 @@ def with_ordinal(df: DataFrame, order: Sequence[str], name: str = "seq") -> Data
     return checkpointed(df.orderBy(*order)).withColumn(name, F.monotonically_increasing_id())
 
 
+def dense_ordinals(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Keys, order and ``ordinal``: the row's place in the table sorted by keys and order, from 0.
+
+    Places follow each other without gaps, whatever the values of ``order``, which must be unique
+    per key.  Only these narrow columns are sorted.  A task's rows are counted, one number per
+    task, to know where its places begin.
+    """
+    narrow = checkpointed(df.select(*keys, order))
+    if narrow.groupBy(*keys, order).count().where("count > 1").head(1):
+        raise ValueError(f"the order column {order} must be unique within {list(keys)}")
+    ordered = checkpointed(narrow.orderBy(*keys, order)).withColumns({
+        "_task": F.spark_partition_id(),
+        "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = ordered.groupBy("_task").agg(F.count(F.lit(1)).alias("_rows"))
+    before = counts.select("_task", (F.sum("_rows").over(Window.orderBy("_task")) - F.col("_rows")).alias("_before"))
+    return ordered.join(F.broadcast(before), "_task").select(
+        *keys, order, (F.col("_before") + F.col("_place")).alias("ordinal"))
+
+
+def with_pages(df: DataFrame, keys: Sequence[str], order: str, rows: int = CHUNK_ROWS,
+               name: str = "page_no") -> DataFrame:
+    """Number pages of ``rows`` rows that follow each other in their group, from 0."""
+    placed = dense_ordinals(df, keys, order)
+    starts = checkpointed(placed.groupBy(*keys).agg(F.min("ordinal").alias("_start")))
+    paged = lookup_join(placed, starts, keys, "inner", [order]).select(
+        *keys, order, F.expr(f"(ordinal - _start) div {rows}").alias(name))
+    return df.join(paged, [*keys, order])
+
+
 def first_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Keep the first row per key; ``order`` must be unique per key.
 
@@ -63,14 +92,14 @@ def ordered_text(df: DataFrame, keys: Sequence[str], order: str, text: str, sepa
                  name: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Join the non-null texts of a group in order, in pages of bounded size.
 
-    Result: keys, ``page_no`` and the joined text.  A page covers the rows whose
-    order value lies in one block of ``chunk_rows`` consecutive integers, so no
-    task ever holds more rows of a group than that; joining a group's pages in
-    page order with the separator gives the whole text.  A page without text
-    gives the empty string.
+    Result: keys, ``page_no`` and the joined text.  A page covers ``chunk_rows``
+    rows that follow each other in the group, so no task ever holds more rows of a
+    group than that; joining a group's pages in page order with the separator
+    gives the whole text.  A page without text gives the empty string.  A
+    ``chunk_rows`` of at least the largest group gives one row per group.
     """
-    return (df.where(_all_present(keys))
-              .select(*keys, block_of(order, chunk_rows).alias("page_no"), order, text)
+    present = df.where(_all_present(keys)).select(*keys, order, text)
+    return (with_pages(present, keys, order, chunk_rows)
               .groupBy(*keys, "page_no")
               .agg(F.coalesce(joined(F.col(text), F.col(order), separator), F.lit("")).alias(name)))
 

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..session import checkpointed
+from .joins import lookup_join
 from .ordering import CHUNK_ROWS, block_of, joined, with_ordinal
 
 MARKER = "###"
@@ -149,10 +150,14 @@ def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
     key_fields = [parts.schema[k] for k in keys]
     # Written down before the sort, whose sampling would cut the texts once more.
     narrow = checkpointed(parts.select(*keys, *order, size))
+    if narrow.groupBy(*keys, *order).count().where("count > 1").head(1):
+        raise ValueError(f"the order must be unique within {keys}")
     sorted_sizes = with_ordinal(narrow, [*keys, *order], "ordinal")
     sizes = sorted_sizes.select(*keys, *order, size, block_of("ordinal", chunk_rows).alias(chunk))
     spans = sizes.groupBy(*keys).agg(F.min(chunk).alias("low"), F.max(chunk).alias("high"))
-    large = spans.where(F.col("low") < F.col("high")).select(*keys)
+    large = spans.where(F.col("low") < F.col("high")).select(*keys, F.lit(True).alias("is_large"))
+    # Marked without dealing the rows by group, so that no task gets all chunks of a large one.
+    of_large = lookup_join(sizes, large, keys, "inner", order).drop("is_large")
 
     def keyed(frame: pd.DataFrame, group: pd.DataFrame, names: list[str]) -> pd.DataFrame:
         for name in reversed(names):
@@ -173,8 +178,7 @@ def number_segments(parts: DataFrame, keys: Sequence[str], order: Sequence[str],
         ordered = group.sort_values(order)[size].to_numpy()
         return keyed(outcome_runs(rule, ordered), group, [*keys, "block", chunk])
 
-    runs = (sizes.join(large, keys, "left_semi")
-                 .withColumn("block", block_of(chunk, BLOCK_CHUNKS))
+    runs = (of_large.withColumn("block", block_of(chunk, BLOCK_CHUNKS))
                  .groupBy(*keys, "block", chunk)
                  .applyInPandas(describe, schema(("block", number_), (chunk, number_), *outcome)))
 

@@ -9,26 +9,26 @@ from pyspark.sql import functions as F
 
 from ..functions import prompts
 from ..functions import text as tx
-from .ordering import CHUNK_ROWS, block_of, first_rows, joined, joined_together, ordered_text
+from ..session import checkpointed
+from .joins import lookup_join
+from .ordering import CHUNK_ROWS, block_of, first_rows, joined, joined_together, ordered_text, with_pages
 from .packing import pack_by_chars, pack_by_words
 from .scoring import ColumnScorer
 from .windows import token_windows, window_arrays
 
 # Segment summaries that are joined for one summary of the next level.
 FAN_IN = 1000
-# Levels above the segments: enough for FAN_IN ** 3 segments in one group.
-LEVELS = 3
 
 
 def summarize_articles(df: DataFrame, text: str = "content", name: str = "summary",
-                       scorer: ColumnScorer = tx.first_sentence, **window) -> DataFrame:
+                       scorer: ColumnScorer = tx.richest_sentence, **window) -> DataFrame:
     """Summary of each article: the window summaries joined by a blank.
 
-    The windows are cut, scored and joined inside the row, without a shuffle.
+    The windows cover the whole text; they are cut, scored and joined inside the row, without a shuffle.
     For a batch scorer use :func:`token_windows`, then
     ``scoring.score_in_batches`` and :func:`join_window_summaries`.
     """
-    windows = window_arrays(tx.blank_tokens(F.col(text)), **window)
+    windows = window_arrays(tx.blank_tokens(F.col(text)), keep_tail=True, **window)
     found = F.transform(windows, lambda t: scorer(F.array_join(t, " ")))
     whole = F.array_join(F.filter(found, lambda s: s.isNotNull()), " ")
     return df.withColumn(name, F.when(F.col(text).isNotNull(), whole).otherwise(F.lit("")))
@@ -37,7 +37,7 @@ def summarize_articles(df: DataFrame, text: str = "content", name: str = "summar
 def article_windows(df: DataFrame, keys: Sequence[str], text: str = "content",
                     **window) -> DataFrame:
     """Window texts keyed by document and window, the input of a batch scorer."""
-    return (token_windows(df, keys, text, **window)
+    return (token_windows(df, keys, text, keep_tail=True, **window)
             .withColumn("segment", F.array_join("tokens", " ")).drop("tokens"))
 
 
@@ -64,31 +64,35 @@ def sector_texts(df: DataFrame, order: str, text: str = "summary_result",
 
 
 def merge_summaries(segments: DataFrame, keys: Sequence[str], final: ColumnScorer,
-                    fan_in: int = FAN_IN, levels: int = LEVELS) -> DataFrame:
-    """Reduce the segment summaries of a group to one text per group.
+                    fan_in: int = FAN_IN) -> DataFrame:
+    """Reduce the segment summaries of a group to one text per group, whatever its size.
 
     ``segments`` has keys, ``seg_no`` from 1, ``summary`` and ``is_final``, which
     marks a lone summary that is the result already.  Up to ``fan_in`` summaries
-    are joined in order and summarised once more with ``final``.  A group with
-    more goes through further levels of the same kind, so no task joins more
-    than ``fan_in`` summaries.
+    are joined in order and summarised once more with ``final``; a group with
+    more goes through further levels of the same kind, as many as the largest
+    group needs.  So ``final`` sees at most ``fan_in`` summaries at a time and must
+    be able to summarise its own results; a smaller ``fan_in`` means more calls.
+    Every level is written down, so no call is repeated.
     """
     keys = list(keys)
-    level = segments.select(*keys, (F.col("seg_no") - 1).alias("no"), "is_final", "summary")
-    for _ in range(levels):
+    level = checkpointed(segments.select(*keys, (F.col("seg_no") - 1).alias("no"), "is_final", "summary"))
+    open_groups = True
+    while open_groups:
         grouped = level.groupBy(*keys, block_of("no", fan_in).alias("page")).agg(
             F.count(F.lit(1)).alias("parts"), F.max("is_final").alias("is_final"),
             joined(F.col("summary"), F.col("no"), " ").alias("text"))
         done = F.col("is_final") & (F.col("parts") == 1)
-        level = grouped.select(
+        level = checkpointed(grouped.select(
             *keys, F.col("page").alias("no"), F.lit(True).alias("is_final"),
-            F.when(done, F.col("text")).otherwise(final(F.coalesce("text", F.lit("")))).alias("summary"))
+            F.when(done, F.col("text")).otherwise(final(F.coalesce("text", F.lit("")))).alias("summary")))
+        open_groups = bool(level.where("no > 0").head(1))
     return level.select(*keys, "summary")
 
 
 def summarize_companies(df: DataFrame, order: str = "doc_id", text: str = "summary",
                         keys: Sequence[str] = ("company_name", "sector_name"),
-                        scorer: ColumnScorer = tx.first_sentence, limit: int = 3000,
+                        scorer: ColumnScorer = tx.richest_sentence, limit: int = 3000,
                         with_prompts: bool = False) -> DataFrame:
     """One ``summary_result`` per company: short texts at once, long ones by segments.
 
@@ -104,12 +108,14 @@ def summarize_companies(df: DataFrame, order: str = "doc_id", text: str = "summa
 
     present = df.where(_present(keys)).withColumn(text, F.nullif(F.col(text), F.lit("")))
     # Length of the whole joined text, markers included, without building it.
-    sizes = present.groupBy(*keys).agg(F.coalesce(
-        F.sum(F.length(text) + 3) - 3, F.lit(0)).alias("n_chars"))
+    sizes = checkpointed(present.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.length(text) + 3) - 3, F.lit(0)).alias("n_chars"), F.count(text).alias("texts")))
     segments = pack_by_chars(present, keys, order, text, limit)
     # A company without any summary is asked about the empty text.
-    whole = sizes.join(segments, keys, "left").withColumns({
-        "segment": F.coalesce("segment", F.lit("")), "seg_no": F.coalesce("seg_no", F.lit(1))})
+    columns = [*keys, "seg_no", "segment", "n_chars"]
+    whole = lookup_join(segments, sizes.drop("texts"), keys, "left", ["seg_no"]).select(*columns).unionByName(
+        sizes.where("texts = 0").select(*keys, F.lit(1).cast("bigint").alias("seg_no"),
+                                        F.lit("").alias("segment"), "n_chars"))
     # A short text is one segment, after an empty one when it nearly reaches the limit.
     is_final = F.col("n_chars") <= limit
     asked = whole.where(~is_final | (F.col("segment") != "") | (F.col("n_chars") == 0))
@@ -121,7 +127,7 @@ def summarize_companies(df: DataFrame, order: str = "doc_id", text: str = "summa
 
 def summarize_sectors(companies: DataFrame, order: str,
                       keys: Sequence[str] = ("year", "sector_name"), text: str = "summary_result",
-                      scorer: ColumnScorer = tx.first_sentence, limit: int = 3000,
+                      scorer: ColumnScorer = tx.richest_sentence, limit: int = 3000,
                       with_prompts: bool = False) -> DataFrame:
     """One ``sector_summary`` per sector and year: segments of about ``limit`` words are
     summarised and consolidated."""
@@ -148,7 +154,7 @@ def summarize_sectors(companies: DataFrame, order: str,
 
 def trend_prompts(sectors: DataFrame, order: str | None = None,
                   text: str = "sector_summary") -> DataFrame:
-    """One prompt per sector with its yearly summaries in order of the year.
+    """One prompt per sector with its yearly summaries in order of the year: ``lines``, ``prompt``.
 
     The first row per sector and year counts, so a group has one line per year.
     Without an order column the table is taken to have one row per sector and year.
@@ -157,7 +163,7 @@ def trend_prompts(sectors: DataFrame, order: str | None = None,
     line = prompts.fill(prompts.TREND_LINE, year=F.col("year"), text=F.col(text))
     lines = yearly.groupBy("sector_name").agg(
         F.coalesce(joined(line, F.col("year"), "\n"), F.lit("")).alias("lines"))
-    return lines.select("sector_name", prompts.fill(
+    return lines.select("sector_name", "lines", prompts.fill(
         prompts.TREND, sector=F.col("sector_name"), text=F.col("lines")).alias("prompt"))
 
 
@@ -166,12 +172,12 @@ def keyword_lists(rows: DataFrame, keys: Sequence[str], order: str,
                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Join keyword, score and sentiment rows of a group by ``; ``, aligned, in pages.
 
-    ``page_no`` counts blocks of ``chunk_rows`` consecutive order values, which
-    bounds what one task joins.
+    A page holds ``chunk_rows`` rows that follow each other in the group's order,
+    which bounds what one task joins.
     """
-    page = block_of(order, chunk_rows).alias("page_no")
     lists = joined_together({c: F.col(c) for c in columns}, F.col(order), "; ")
-    return rows.where(_present(keys)).groupBy(*keys, page).agg(*lists)
+    paged = with_pages(rows.where(_present(keys)), keys, order, chunk_rows)
+    return paged.groupBy(*keys, "page_no").agg(*lists)
 
 
 def aggregate_rows(rows: DataFrame, keys: Sequence[str], order: str,

@@ -82,7 +82,7 @@ def semantic_segments(df: DataFrame, text: str = "text", images: str = "images",
         embed = hashed_counts if make_embedder is None else make_embedder()
         for frame in frames:
             cut = [split_paragraphs(list(s), int(i) + 1, threshold, embed, make_embedder is None)
-                   for s, i in zip(frame["sentences"], frame[images])]
+                   for s, i in zip(frame["sentences"], frame[images].fillna(0))]
             yield frame[columns].assign(segments=cut)
 
     rows = ready.where(F.col("sentences").isNotNull()).mapInPandas(run, schema)

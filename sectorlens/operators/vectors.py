@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cosine
-from .ordering import CHUNK_ROWS, block_of
+from ..session import checkpointed
+from .ordering import dense_ordinals
 
 # Question vectors that one task compares at once, and corpus vectors per task
 # when the questions are too many to be sent to every task.
@@ -28,7 +29,15 @@ def _best(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int,
     """The n best ids per question row of a score matrix; the smaller id wins ties."""
     order = np.argsort(ids, kind="stable")
     ids, scores = ids[order], np.round(scores[:, order], decimals)
-    top = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+    if scores.shape[1] > 4 * n:
+        # Only what reaches the n-th score of its row is sorted.
+        edge = np.partition(scores, -n, axis=1)[:, -n:].min(axis=1, keepdims=True)
+        most = int((scores >= edge).sum(axis=1).max())
+        near = np.argsort(np.where(scores >= edge, 0, 1), axis=1, kind="stable")[:, :most]
+        best = np.take_along_axis(scores, near, axis=1)
+        top = np.take_along_axis(near, np.argsort(-best, axis=1, kind="stable"), axis=1)[:, :n]
+    else:
+        top = np.argsort(-scores, axis=1, kind="stable")[:, :n]
     return pd.DataFrame({"query_id": np.repeat(query_ids, top.shape[1]),
                          "vec_id": ids[top].reshape(-1),
                          "score": np.take_along_axis(scores, top, axis=1).reshape(-1)})
@@ -44,8 +53,10 @@ def nearest(corpus: DataFrame, questions: DataFrame, n: int = 10, decimals: int
     Scores are matrix products inside tasks; a task hands on only its n best per
     question.  Up to ``QUESTION_BLOCK`` questions, counted first, travel to the
     tasks and the corpus is not shuffled.  More questions are compared in a grid
-    of bounded blocks of both tables.
+    of bounded blocks of both tables.  Rows without a vector have no match.
     """
+    corpus = corpus.where(F.col("embedding").isNotNull())
+    questions = questions.where(F.col("embedding").isNotNull())
     head = questions.limit(QUESTION_BLOCK + 1).select("query_id", "embedding").toPandas()
     if len(head) <= QUESTION_BLOCK:
         partial = _against_few(corpus, head, n, decimals)
@@ -106,26 +117,19 @@ def _against_many(corpus: DataFrame, questions: DataFrame, n: int, decimals: int
                .applyInPandas(compare, SCORES)
 
 
-def neighbour_similarity(df: DataFrame, keys: Sequence[str], order: str, vector: str = "embedding",
-                         chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def neighbour_similarity(df: DataFrame, keys: Sequence[str], order: str,
+                         vector: str = "embedding") -> DataFrame:
     """Cosine of each vector with the next one of its group; the last one has none.
 
-    A group is cut into blocks of consecutive order values, so that no task
-    sorts a whole hot group.  Only the first row of each block, a thousandth of
-    the rows, is looked up across blocks.
+    ``order`` must be unique per key.  Rows get places without gaps, on their narrow columns; a
+    row's successor stands one place further, and its vector is fetched by key and order.  Every
+    join key is unique, so no task gets a whole group.
     """
     keys = list(keys)
-    cut = df.select(*keys, order, vector, block_of(order, chunk_rows).alias("chunk"))
-    inside = Window.partitionBy(*keys, "chunk").orderBy(order)
-    paired = cut.withColumn("next_id", F.lead(order).over(inside)) \
-                .withColumn("next_vector", F.lead(vector).over(inside))
-    firsts = cut.groupBy(*keys, "chunk").agg(F.min(order).alias("first_id"),
-                                             F.min_by(vector, order).alias("first_vector"))
-    across = Window.partitionBy(*keys).orderBy("chunk")
-    following = firsts.select(
-        *keys, "chunk", F.lead("first_id").over(across).alias("after_id"),
-        F.lead("first_vector").over(across).alias("after_vector"))
-    joined = paired.join(following, [*keys, "chunk"], "left")
-    return joined.select(
-        *keys, order, F.coalesce("next_id", "after_id").alias("next_id"),
-        cosine(F.col(vector), F.coalesce("next_vector", "after_vector")).alias("similarity"))
+    placed = checkpointed(dense_ordinals(df, keys, order))
+    after = placed.select(*keys, F.col(order).alias("next_id"), (F.col("ordinal") - 1).alias("ordinal"))
+    pairs = placed.join(after, [*keys, "ordinal"], "left").drop("ordinal")
+    own = df.select(*keys, order, vector)
+    following = df.select(*keys, F.col(order).alias("next_id"), F.col(vector).alias("next_vector"))
+    joined = own.join(pairs, [*keys, order]).join(following, [*keys, "next_id"], "left")
+    return joined.select(*keys, order, "next_id", cosine(F.col(vector), F.col("next_vector")).alias("similarity"))

@@ -22,27 +22,37 @@ def window_count(length: Column, size: int = SIZE, overlap: int = OVERLAP,
 
 
 def window_arrays(tokens: Column, size: int = SIZE, overlap: int = OVERLAP,
-                  least: int = LEAST) -> Column:
-    """Array of token windows of a token array, cut inside the row."""
+                  least: int = LEAST, keep_tail: bool = False) -> Column:
+    """Array of token windows of a token array, cut inside the row.
+
+    Last tokens too few for a window of their own are left out or, with ``keep_tail``, added to
+    the last window.
+    """
     stride = size - overlap
-    return let(tokens, lambda t: F.transform(
-        F.sequence(F.lit(0), window_count(F.size(t), size, overlap, least) - 1),
-        lambda k: F.slice(t, k * stride + 1, F.lit(size))))
+
+    def cut(t: Column, last: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(
+            t, k * stride + 1, F.when((k == last) & F.lit(keep_tail), F.size(t)).otherwise(F.lit(size))))
+
+    return let(tokens, lambda t: let(
+        window_count(F.size(t), size, overlap, least) - 1, lambda last: cut(t, last)))
 
 
 def token_windows(df: DataFrame, keys: Sequence[str], text: str = "content", size: int = SIZE,
                   overlap: int = OVERLAP, least: int = LEAST, limit: int | None = None,
-                  tokenize: Callable[[Column], Column] = tx.blank_tokens) -> DataFrame:
+                  tokenize: Callable[[Column], Column] = tx.blank_tokens,
+                  keep_tail: bool = False) -> DataFrame:
     """One row per window: keys, ``seg_no`` from 1, ``token_len`` of the document, ``tokens``.
 
-    Whole documents are cut unless ``limit`` names a model's input limit.
+    ``keep_tail`` adds last tokens too few for a window to the last one.  Whole
+    documents are cut unless ``limit`` names a model's input limit.
     Documents without text have no window.
     """
     tokens = tokenize(F.col(text))
     if limit is not None:
         tokens = F.slice(tokens, 1, limit)
     cut = let(tokens, lambda t: F.struct(
-        F.size(t).alias("token_len"), window_arrays(t, size, overlap, least).alias("windows")))
+        F.size(t).alias("token_len"), window_arrays(t, size, overlap, least, keep_tail).alias("windows")))
     cut_rows = df.where(F.col(text).isNotNull()).select(*keys, cut.alias("cut"))
     return cut_rows.select(
         *keys, F.col("cut.token_len").cast("bigint").alias("token_len"),

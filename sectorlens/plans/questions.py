@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import retrieval
 from ..sources import readers, writers
@@ -39,6 +40,8 @@ def answer(questions: DataFrame, index: Index, n: int = 10) -> DataFrame:
 
     Local questions always get n excerpts, if need be of score zero.
     """
-    top = retrieval.retrieve(questions, index.docs, "query_id", KEY, n, pad_zero=True,
+    # Online questions are passed on as they are, so nothing is looked up for them.
+    local = questions.where(F.coalesce(F.col("source") != "Online", F.lit(True)))
+    top = retrieval.retrieve(local, index.docs, "query_id", KEY, n, pad_zero=True,
                              index=(index.terms, index.postings))
     return retrieval.answer_prompts(questions, top, index.docs, "query_id", KEY)

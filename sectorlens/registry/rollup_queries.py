@@ -18,9 +18,9 @@ GROUP = ["company_name", "sector_name"]
 
 
 def summarized(spark, folder):
-    """Articles with the leading sentence as summary; failed ones have none."""
+    """Articles with their richest sentence as summary; failed ones have none."""
     return articles(spark, folder).withColumn(
-        "summary", F.when(F.col("success") == 1, tx.first_sentence(F.col("content"))))
+        "summary", F.when(F.col("success") == 1, tx.richest_sentence(F.col("content"))))
 
 
 def company_text_rollup(spark, folder):
@@ -59,7 +59,8 @@ def sector_summaries(spark, folder):
 
 def keyword_lists(spark, folder):
     rows = articles(spark, folder).select(
-        "year", "company_name", "doc_id", F.get(tx.content_words(F.col("content")), F.lit(0)).alias("keywords"),
+        "year", "company_name", "doc_id",
+        F.array_max(tx.content_words(F.col("content"))).alias("keywords"),
         numeric.plain_number(F.length("content") / 1000).alias("keywords_score"),
         numeric.plain_number(F.col("success"), 1).alias("keywords_sentiment"))
     return rollup.keyword_lists(rows, ["year", "company_name"], "doc_id")
@@ -68,7 +69,7 @@ def keyword_lists(spark, folder):
 def first_non_null(spark, folder):
     labels = table(spark, folder, "labels")
     rows = articles(spark, folder).join(labels, "doc_id", "left").withColumn(
-        "short_text", F.when(F.length("content") < 300, F.col("content")))
+        "short_text", F.when(F.col("quality") == 1, F.col("content")))
     return ordering.first_values(rows, GROUP, ["quality", "toxic", "short_text"], "doc_id").select(
         *GROUP, F.col("quality").cast("string").alias("quality"),
         F.col("toxic").cast("string").alias("toxic"), F.md5("short_text").alias("short_md5"))
@@ -88,8 +89,8 @@ def dedupe_first(spark, folder):
 def trend_prompts(spark, folder):
     rows = articles(spark, folder).select(
         F.col("company_name").alias("sector_name"), "year", "doc_id",
-        tx.first_sentence(F.col("content")).alias("sector_summary"))
-    return rollup.trend_prompts(rows, "doc_id")
+        tx.richest_sentence(F.col("content")).alias("sector_summary"))
+    return rollup.trend_prompts(rows, "doc_id").select("sector_name", "prompt")
 
 
 def keyword_sentiments(spark, folder):
@@ -103,12 +104,12 @@ def keyword_sentiments(spark, folder):
 
 
 def corpus_rows(spark, folder):
-    """Rows shaped like the final table, for the corpus."""
-    return summarized(spark, folder).select(
+    """Rows shaped like the final table, for the corpus; labels say which texts are missing."""
+    return summarized(spark, folder).join(table(spark, folder, "labels"), "doc_id", "left").select(
         F.col("doc_id").alias("seq"), "year", "sector_name",
         F.col("summary").alias("company_summary"),
-        F.when(F.length("content") < 1000, F.col("content")).alias("sector_summary"),
-        F.when(F.length("content") < 300, F.col("content")).alias("sector_trend"))
+        F.when(F.col("quality") == 1, F.col("content")).alias("sector_summary"),
+        F.when(F.col("toxic") == 0, F.col("content")).alias("sector_trend"))
 
 
 def build_corpus(spark, folder):
@@ -150,16 +151,14 @@ def _final_sql() -> str:
           FROM (SELECT *, {polarity} AS s FROM {relation} k) q GROUP BY {', '.join(keys)})"""
 
     trend_line = "'Summary in ' || CAST(year AS VARCHAR) || ': ' || sector_summary"
-    from ..functions.prompts import TREND
-    head, middle = TREND.split("{text}")[0].split("{sector}")
-    trend = sql.first_sentence("'" + head.replace("'", "''") + "' || sector_name || '"
-                               + middle.replace("'", "''") + "' || string_agg("
-                               + trend_line + f", {sql.NEWLINE} ORDER BY year)")
+    lines = f"string_agg({trend_line}, {sql.NEWLINE} ORDER BY year)"
+    trend = sql.richest_sentence("lines")
     return f"""WITH placed AS MATERIALIZED {placed},
       companies AS MATERIALIZED {sql.company_summaries('placed', ckeys, 'doc_id')},
       sectors AS MATERIALIZED {sql.sector_summaries(
           "(SELECT * FROM companies WHERE sector_name IS NOT NULL)", skeys, 'company_name', 'summary_result')},
-      trends AS (SELECT sector_name, {trend} AS sector_trend FROM sectors GROUP BY sector_name),
+      trends AS (SELECT sector_name, {trend} AS sector_trend FROM
+        (SELECT sector_name, {lines} AS lines FROM sectors GROUP BY sector_name) q),
       c AS {lists('company', ckw, ckeys)},
       s AS {lists('sector', skw, skeys)}
     SELECT c.*, companies.summary_result AS company_summary, s.sector_keywords, s.sector_keywords_score,
@@ -170,22 +169,28 @@ def _final_sql() -> str:
       LEFT JOIN trends USING (sector_name)"""
 
 
-_SUMMARIZED = f"""(SELECT *, CASE WHEN success = 1 THEN {sql.first_sentence('content')} END AS summary
+_SUMMARIZED = f"""(SELECT *, CASE WHEN success = 1 THEN {sql.richest_sentence('content')} END AS summary
     FROM {sql.ARTICLES} b)"""
 
 _CORPUS = f"""(SELECT doc_id AS seq, year, sector_name, summary AS company_summary,
-    CASE WHEN length(content) < 1000 THEN content END AS sector_summary,
-    CASE WHEN length(content) < 300 THEN content END AS sector_trend FROM {_SUMMARIZED} s)"""
+    CASE WHEN quality = 1 THEN content END AS sector_summary,
+    CASE WHEN toxic = 0 THEN content END AS sector_trend FROM {_SUMMARIZED} s LEFT JOIN labels USING (doc_id))"""
+
+
+def _paged(keys: str) -> str:
+    return f"""(SELECT *, (row_number() OVER (PARTITION BY {keys} ORDER BY doc_id) - 1) // 1000 AS page_no
+        FROM {_SUMMARIZED} s)"""
+
 
 ORACLES = {
     "company_text_rollup": f"""SELECT company_name, sector_name, page_no, length(t) AS n_chars,
-          md5(t) AS summary_md5 FROM (SELECT company_name, sector_name, doc_id // 1000 AS page_no,
+          md5(t) AS summary_md5 FROM (SELECT company_name, sector_name, page_no,
             coalesce(string_agg(nullif(summary, ''), '###' ORDER BY doc_id), '') AS t
-          FROM {_SUMMARIZED} s GROUP BY ALL)""",
+          FROM {_paged('company_name, sector_name')} s GROUP BY ALL)""",
     "sector_text_rollup": f"""SELECT year, sector_name, page_no, length(t) AS n_chars,
-          md5(t) AS content_md5 FROM (SELECT year, sector_name, doc_id // 1000 AS page_no,
+          md5(t) AS content_md5 FROM (SELECT year, sector_name, page_no,
             coalesce(string_agg(summary, ' ### ' ORDER BY doc_id), '') AS t
-          FROM {_SUMMARIZED} s GROUP BY ALL)""",
+          FROM {_paged('year, sector_name')} s GROUP BY ALL)""",
     "pack_by_chars": f"""SELECT company_name, seg_no, length(segment) AS n_chars, md5(segment) AS segment_md5
         FROM {sql.pack_chars(sql.ARTICLES, ['company_name'], 'doc_id', 'content')} p""",
     "pack_by_words": f"""SELECT company_name, seg_no, length(segment) AS n_chars, md5(segment) AS segment_md5
@@ -193,25 +198,27 @@ ORACLES = {
     "company_summaries": f"SELECT * FROM {sql.company_summaries(sql.ARTICLES, GROUP, 'doc_id', 'content')} c",
     "sector_summaries": f"""SELECT * FROM {sql.sector_summaries(
         sql.ARTICLES, ['year', 'sector_name'], 'doc_id', 'content')} c""",
-    "keyword_lists": f"""SELECT year, company_name, doc_id // 1000 AS page_no,
+    "keyword_lists": f"""SELECT year, company_name, page_no,
           string_agg(coalesce(k, ''), '; ' ORDER BY doc_id) AS keywords,
           string_agg(CAST(CAST(n / CAST(1000 AS DOUBLE) AS DECIMAL(38, 4)) AS VARCHAR), '; ' ORDER BY doc_id)
             AS keywords_score,
           string_agg(CAST(CAST(success AS DECIMAL(38, 1)) AS VARCHAR), '; ' ORDER BY doc_id)
             AS keywords_sentiment
-        FROM (SELECT *, {sql.content_words('content')}[1] AS k, length(content) AS n FROM {sql.ARTICLES} a)
-        GROUP BY year, company_name, doc_id // 1000""",
+        FROM (SELECT *, list_max({sql.content_words('content')}) AS k, length(content) AS n,
+          (row_number() OVER (PARTITION BY year, company_name ORDER BY doc_id) - 1) // 1000 AS page_no
+          FROM {sql.ARTICLES} a)
+        GROUP BY year, company_name, page_no""",
     "first_non_null": f"""SELECT company_name, sector_name,
           CAST(arg_min(quality, doc_id) FILTER (WHERE quality IS NOT NULL) AS VARCHAR) AS quality,
           CAST(arg_min(toxic, doc_id) FILTER (WHERE toxic IS NOT NULL) AS VARCHAR) AS toxic,
-          md5(arg_min(content, doc_id) FILTER (WHERE length(content) < 300)) AS short_md5
+          md5(arg_min(content, doc_id) FILTER (WHERE quality = 1)) AS short_md5
         FROM {sql.ARTICLES} a LEFT JOIN labels USING (doc_id) GROUP BY company_name, sector_name""",
     "group_mean_broadcast": """SELECT event_id, event_type, value,
           round(avg(value) OVER (PARTITION BY event_type), 4) AS mean_value FROM events""",
     "dedupe_first": f"""SELECT company_name, year, doc_id, md5(content) AS content_md5 FROM {sql.ARTICLES} a
         QUALIFY row_number() OVER (PARTITION BY company_name, year ORDER BY doc_id) = 1""",
     "trend_prompts": f"""WITH f AS (SELECT company_name AS sector_name, year,
-            {sql.first_sentence('content')} AS s FROM {sql.ARTICLES} a
+            {sql.richest_sentence('content')} AS s FROM {sql.ARTICLES} a
             QUALIFY row_number() OVER (PARTITION BY company_name, year ORDER BY doc_id) = 1)
         SELECT sector_name, 'Provide a comprehensive analysis on ' || sector_name || ' sector trends. Include '
           || 'developments, challenges, and achievements. Focus on technology, market dynamics, regulatory '

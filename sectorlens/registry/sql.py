@@ -49,6 +49,12 @@ def sentences(x: str) -> str:
             f"lambda q: {trim('q')}), lambda q: q <> '')")
 
 
+def richest_sentence(x: str) -> str:
+    rated = f"list_transform({sentences(x)}, lambda s: len(list_distinct({index_terms('s')})))"
+    return (f"CASE WHEN {x} IS NOT NULL THEN coalesce(({sentences(x)})[list_position({rated}, "
+            f"list_max({rated}))], '') END")
+
+
 def words(x: str) -> str:
     return f"list_filter(string_split_regex({x}, '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
 
@@ -76,8 +82,9 @@ def article_summaries(relation: str = ARTICLES) -> str:
     return f"""(WITH tokens AS (SELECT *, {blank_tokens('content')} AS t FROM {relation} a),
       cut AS (SELECT * EXCLUDE (t), list_transform(
           range(0, greatest(CAST(floor((len(t) - 128) / 462.0) AS BIGINT), 0) + 1),
-          lambda k: array_to_string(t[462 * k + 1 : 462 * k + 512], ' ')) AS w FROM tokens)
-    SELECT * EXCLUDE (w), array_to_string(list_transform(w, lambda x: {first_sentence('x')}), ' ')
+          lambda k: array_to_string(t[462 * k + 1 : CASE WHEN k = greatest(CAST(
+            floor((len(t) - 128) / 462.0) AS BIGINT), 0) THEN len(t) ELSE 462 * k + 512 END], ' ')) AS w FROM tokens)
+    SELECT * EXCLUDE (w), array_to_string(list_transform(w, lambda x: {richest_sentence('x')}), ' ')
         AS summary FROM cut)"""
 
 
@@ -125,18 +132,19 @@ def company_summaries(relation: str, keys: Sequence[str], order: str, text: str
     filled = f"(SELECT * REPLACE (nullif({text}, '') AS {text}) FROM {relation} q)"
     return f"""(WITH size AS (SELECT {k}, coalesce(string_agg({text}, '###' ORDER BY {order}), '') AS txt
         FROM {filled} r GROUP BY {k}),
-      parts AS (SELECT {k}, string_agg({first_sentence('segment')}, ' ' ORDER BY seg_no) AS joined
+      parts AS (SELECT {k}, string_agg({richest_sentence('segment')}, ' ' ORDER BY seg_no) AS joined
         FROM {pack_chars(filled, keys, order, text)} p GROUP BY {k})
-    SELECT {k}, CASE WHEN length(txt) > 3000 THEN {first_sentence('joined')}
-        ELSE {first_sentence('txt')} END AS summary_result FROM size LEFT JOIN parts USING ({k}))"""
+    SELECT {k}, CASE WHEN length(txt) > 3000 THEN {richest_sentence('joined')}
+        ELSE {richest_sentence('txt')} END AS summary_result FROM size LEFT JOIN parts USING ({k}))"""
 
 
 def sector_summaries(relation: str, keys: Sequence[str], order: str, text: str) -> str:
     """keys, sector_summary."""
     k = ", ".join(keys)
     parts = pack_words(relation, keys, order, text)
-    joined = f"string_agg({first_sentence('segment')}, ' ' ORDER BY seg_no)"
-    return f"(SELECT {k}, {first_sentence(joined)} AS sector_summary FROM {parts} p GROUP BY {k})"
+    joined = f"string_agg({richest_sentence('segment')}, ' ' ORDER BY seg_no)"
+    return (f"(SELECT {k}, {richest_sentence('j')} AS sector_summary FROM "
+            f"(SELECT {k}, {joined} AS j FROM {parts} p GROUP BY {k}) q)")
 
 
 def picks(relation: str, keys: Sequence[str], text: str, longest: int, top_n: int) -> str:

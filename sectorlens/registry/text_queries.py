@@ -33,7 +33,7 @@ def explode_urls(spark, folder):
 def rejected_articles(spark, folder):
     labels = table(spark, folder, "labels").select("doc_id", "quality")
     judged = articles(spark, folder).join(labels, "doc_id", "left").select(
-        "doc_id", "year", "success", tx.first_sentence(F.col("content")).alias("summary"),
+        "doc_id", "year", "success", tx.richest_sentence(F.col("content")).alias("summary"),
         F.when(F.col("quality") == 0, "No, it is not.")
          .when(F.col("quality") == 1, "yes: nothing against it").alias("answer"))
     done = cleaning.reject_irrelevant(judged)
@@ -115,10 +115,12 @@ def sector_class(spark, folder):
 
 
 def sector_mapping(spark, folder):
-    """(sector_ord, sector_name, company_name): sectors in which a company has a long article."""
+    """(sector_ord, sector_name, company_name): sectors with a fifth of a company's articles or more."""
     docs = table(spark, folder, "documents")
     order = docs.groupBy("lang").agg(F.min("doc_id").alias("sector_ord"))
-    pairs = docs.where(F.col("n_chars") > 5000).select("lang", "source").distinct()
+    counts = docs.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    whole = docs.groupBy("source").agg(F.count(F.lit(1)).alias("all"))
+    pairs = counts.join(whole, "source").where(F.col("n") * 5 >= F.col("all"))
     return pairs.join(order, "lang").select(
         "sector_ord", F.col("lang").alias("sector_name"), F.col("source").alias("company_name"))
 
@@ -154,7 +156,7 @@ def segment_summaries(spark, folder):
 
 def relevance_prompts(spark, folder):
     prompt = prompts.fill(prompts.RELEVANCE, sector=F.col("sector_name"),
-                          text=tx.first_sentence(F.col("content")))
+                          text=tx.richest_sentence(F.col("content")))
     return articles(spark, folder).select("doc_id", prompt.alias("prompt"))
 
 
@@ -189,7 +191,7 @@ def semantic_segments(spark, folder):
 
 _VERB_KEPT = "text"
 for _code in sorted(wordlists.VERB_WORDS):
-    _pattern = tx.verb_pattern(wordlists.VERB_WORDS[_code], wordlists.VERB_SUFFIXES[_code])
+    _pattern = tx.verb_pattern(wordlists.VERB_WORDS[_code], wordlists.VERB_SUFFIXES[_code]).replace("(?iu)", "(?i)")
     _VERB_KEPT = f"""CASE WHEN lang = '{_code}' THEN array_to_string(list_filter(
         string_split(text, {sql.NEWLINE}), lambda line: len(list_filter({sql.sentences('line')},
         lambda s: NOT regexp_matches(s, '{_pattern}'))) = 0), {sql.NEWLINE}) ELSE {_VERB_KEPT} END"""
@@ -206,7 +208,9 @@ _DOMAIN = """split_part(CASE WHEN contains(url, 'www.') THEN substr(url, instr(u
     WHEN contains(url, '//') THEN substr(url, instr(url, '//') + 2) ELSE url END, '/', 1)"""
 
 MAPPING = """(SELECT o.sector_ord, p.lang AS sector_name, p.source AS company_name
-    FROM (SELECT DISTINCT lang, source FROM documents WHERE n_chars > 5000) p
+    FROM (SELECT lang, source FROM (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL) a
+      JOIN (SELECT source, count(*) AS every FROM documents GROUP BY ALL) b USING (source)
+      WHERE n * 5 >= every) p
     JOIN (SELECT lang, min(doc_id) AS sector_ord FROM documents GROUP BY lang) o USING (lang))"""
 
 LAST_WINS = f"""(SELECT company_name, arg_max(sector_name, sector_ord) AS sector_name
@@ -229,7 +233,7 @@ ORACLES = {
           CASE WHEN quality = 0 AND s <> '' THEN -2 ELSE success END AS success,
           md5(CASE WHEN quality = 0 THEN '' ELSE s END) AS summary_md5,
           CASE WHEN quality = 0 AND s <> '' THEN md5(s) END AS rejected_md5
-        FROM (SELECT doc_id, year, success, {sql.first_sentence('content')} AS s, quality
+        FROM (SELECT doc_id, year, success, {sql.richest_sentence('content')} AS s, quality
           FROM {sql.ARTICLES} a LEFT JOIN labels USING (doc_id))""",
     "null_failed_text": f"""SELECT doc_id, success,
           CASE WHEN success <> 0 THEN md5(content) END AS content_md5 FROM {sql.ARTICLES} a""",
@@ -297,7 +301,7 @@ ORACLES = {
     "segment_summaries": f"""SELECT doc_id, length(summary) AS n_chars, md5(summary) AS summary_md5
         FROM {sql.article_summaries()} s""",
     "relevance_prompts": f"""SELECT doc_id, 'Is this article related to financial news or related to ' || lang ||
-          ' industry? Answer ''yes'' or ''no'': ' || {sql.first_sentence('text')} AS prompt FROM documents""",
+          ' industry? Answer ''yes'' or ''no'': ' || {sql.richest_sentence('text')} AS prompt FROM documents""",
     "mmr_select": f"""SELECT doc_id, pick_no, keyword, round(rel, 6) AS rel
         FROM {sql.picks(sql.ARTICLES, ['doc_id'], 'content', 1, 10)} p""",
     "keywords_company": f"""SELECT doc_id, kw_no, keywords, keywords_score

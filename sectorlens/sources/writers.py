@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def write_years(df: DataFrame, folder: str) -> None:
     """Replace the years present in the table; other years stay.  Parquet, one folder per year."""
@@ -44,9 +46,13 @@ def export_sites(sites: DataFrame, folder: str) -> None:
 
 def write_with_side_output(df: DataFrame, flagged: Column, folder: str, side_folder: str,
                            side_columns: Sequence[str]) -> None:
-    """Write all rows and, next to them, some columns of the flagged ones."""
+    """Write all rows and, next to them, some columns of the flagged ones.
+
+    The side output is read back from the first one, so that ``df`` is computed once.
+    """
     df.write.mode("overwrite").parquet(folder)
-    df.where(flagged).select(*side_columns).write.mode("overwrite").parquet(side_folder)
+    written = df.sparkSession.read.schema(df.schema).parquet(folder)
+    written.where(flagged).select(*side_columns).write.mode("overwrite").parquet(side_folder)
 
 
 def save_index(docs: DataFrame, terms: DataFrame, postings: DataFrame, folder: str) -> None:
@@ -55,6 +61,8 @@ def save_index(docs: DataFrame, terms: DataFrame, postings: DataFrame, folder: s
     Postings are range-partitioned and sorted by term and document: a look-up of
     some terms skips most files, and a hot term spans several of them.
     """
+    # Written down before the range sort, whose sampling would compute them once more.
+    terms, postings = checkpointed(terms), checkpointed(postings)
     key = [c for c in postings.columns if c not in ("term", "tf", "weight")]
     docs.write.mode("overwrite").parquet(f"{folder}/docs")
     terms.repartitionByRange("term").sortWithinPartitions("term") \

@@ -106,13 +106,22 @@ def test_nearest_is_exact(spark, monkeypatch, few):
     assert [r.vec_id for r in got] == want.reshape(-1).tolist()
 
 
-def test_neighbours_cross_blocks(spark):
+def test_rows_without_a_vector_have_no_match(spark):
+    schema = "vec_id long, embedding array<double>"
+    corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0])], schema)
+    asked = corpus.withColumnRenamed("vec_id", "query_id")
+    got = {(r.query_id, r.vec_id) for r in vectors.nearest(corpus, asked, 2).collect()}
+    assert got == {(1, 1), (1, 3), (3, 1), (3, 3)}
+
+
+@pytest.mark.parametrize("factor", [1, 5000])
+def test_neighbours_follow_each_other_however_sparse_the_ids(spark, factor):
     rng = np.random.default_rng(1)
-    ids = sorted(rng.choice(100, 40, replace=False).tolist())
+    ids = sorted((factor * rng.choice(100, 40, replace=False)).tolist())
     pool = {i: rng.normal(size=4) for i in ids}
     df = spark.createDataFrame([("g", i, pool[i].tolist()) for i in ids], "g string, id long, embedding array<double>")
     got = {r.id: (r.next_id, r.similarity) for r in
-           vectors.neighbour_similarity(df, ["g"], "id", chunk_rows=7).collect()}
+           vectors.neighbour_similarity(df, ["g"], "id").collect()}
     for a, b in zip(ids, ids[1:]):
         want = pool[a] @ pool[b] / np.linalg.norm(pool[a]) / np.linalg.norm(pool[b])
         assert got[a][0] == b and abs(got[a][1] - want) < 1e-12
@@ -123,10 +132,12 @@ def test_semantic_segments(spark):
     rows = [(1, "One two. Three four.", 2), (2, "Same words here. Same words here. Other thing now. Same words here.", 1),
             (3, "A b. C d. E f. G h.", 1)]
     df = spark.createDataFrame(rows, "id long, text string, images int")
+    df = df.unionAll(df.limit(1).selectExpr("4", "text", "CAST(NULL AS INT)"))
     got = {}
     for r in segments.semantic_segments(df).orderBy("id", "seg_no").collect():
         got.setdefault(r.id, []).append(r.segment)
     assert got[1] == ["One two. Three four."] * 3
+    assert got[4] == ["One two. Three four."]
     assert got[2][0].startswith("Same words here. Same words here.") and len(got[2]) == 2
     assert " ".join(got[3]) == "A b. C d. E f. G h." and len(got[3]) == 2
 

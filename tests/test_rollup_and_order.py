@@ -2,9 +2,11 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sectorlens.functions import text as tx
 from sectorlens.operators import joins, lookup, ordering, retrieval, rollup, scoring, windows
-from pyspark.sql import types as T
+from sectorlens.sources import writers
 
 
 def windows_by_hand(tokens):
@@ -29,7 +31,7 @@ def test_token_windows_equal_plain_loop(spark, size):
 
 def test_window_summaries_by_column_and_batch_scorer_agree(spark):
     df = spark.createDataFrame([(1, "Ab cd. ef " * 400), (2, "short"), (3, None)], "doc_id long, content string")
-    inside = {r.doc_id: r.summary for r in rollup.summarize_articles(df).collect()}
+    inside = {r.doc_id: r.summary for r in rollup.summarize_articles(df, scorer=tx.first_sentence).collect()}
     cut = rollup.article_windows(df, ["doc_id"])
     scored = scoring.score_in_batches(
         cut, "segment", "summary_seg", T.StringType(),
@@ -150,3 +152,33 @@ def test_corpus_keeps_duplicates(spark):
                                "sector_summary string, sector_trend string")
     got = [r.text for r in retrieval.build_corpus(df).orderBy("doc_ord").collect()]
     assert got == ["c", "c", "s", "t"]
+
+
+@pytest.mark.parametrize("factor", [1, 5000])
+def test_pages_do_not_depend_on_how_dense_the_order_is(spark, factor):
+    data = [("a", i * factor, f"t{i}") for i in range(6)] + [("b", 7 * factor, "u")]
+    df = spark.createDataFrame(data, "company_name string, doc_id long, summary string")
+    whole = {r.company_name: r.summary for r in rollup.company_texts(df, keys=["company_name"]).collect()}
+    assert whole == {"a": "t0###t1###t2###t3###t4###t5", "b": "u"}
+    pages = sorted((r.company_name, r.page_no, r.summary) for r in
+                   rollup.company_texts(df, keys=["company_name"], chunk_rows=2).collect())
+    assert pages == [("a", 0, "t0###t1"), ("a", 1, "t2###t3"), ("a", 2, "t4###t5"), ("b", 0, "u")]
+
+
+def test_a_group_of_any_size_ends_in_one_row(spark):
+    segments = spark.range(1, 82).selectExpr("'g' AS k", "id AS seg_no", "false AS is_final", "'s' AS summary")
+    got = rollup.merge_summaries(segments, ["k"], lambda t: F.concat(F.lit("<"), t, F.lit(">")), fan_in=2).collect()
+    assert len(got) == 1 and got[0].summary.count("s") == 81
+
+
+def test_side_output_computes_its_frame_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    df = spark.range(10).mapInPandas(run, "id long")
+    writers.write_with_side_output(df, F.col("id") > 7, f"{tmp_path}/all", f"{tmp_path}/side", ["id"])
+    assert seen.value == 10 and spark.read.parquet(f"{tmp_path}/side").count() == 2

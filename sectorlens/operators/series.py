@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpointed
 from . import seasonal
 
 # Months a series needs, season length and months forecast.
@@ -135,3 +136,22 @@ def prepare_and_predict(facts: DataFrame, keys: Sequence[str],
     series = monthly_series(chosen, keys, start, end, ref_date, value)
     return actuals_and_forecasts(chosen, forecaster(series, keys, ref_date=ref_date, value=value),
                                  keys, ref_date, value)
+
+
+def predict_with_failures(facts: DataFrame, keys: Sequence[str],
+                          condition: Callable[[DataFrame], Column] | Column | None = None,
+                          start: date = START, end: date = END, ref_date: str = "ref_date",
+                          value: str = "value", forecaster=seasonal_models) -> tuple[DataFrame, DataFrame]:
+    """The table of :func:`prepare_and_predict`, and the series whose model failed with the error.
+
+    The forecasts are written down, so that no series is fitted for each of the two.  A forecaster
+    without an ``error`` column has no failures.
+    """
+    chosen = filter_facts(facts, condition)
+    series = monthly_series(chosen, keys, start, end, ref_date, value)
+    forecasts = forecaster(series, keys, ref_date=ref_date, value=value)
+    if "error" not in forecasts.columns:
+        forecasts = forecasts.withColumn("error", F.lit(None).cast("string"))
+    forecasts = checkpointed(forecasts)
+    return (actuals_and_forecasts(chosen, forecasts, keys, ref_date, value),
+            failed_series(forecasts, keys))

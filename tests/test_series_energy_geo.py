@@ -131,3 +131,16 @@ def test_energy_flow_end_to_end(spark):
     got = {(r.geo, r.label): r.n for r in out.groupBy("geo", "label").agg(F.count("*").alias("n")).collect()}
     assert got["Alberta", "Gas Imports"] == 32 and got["Ontario", "Coal Coal, received"] == 32
     assert got["Ontario", "Coal Input MJ"] == 32
+
+
+def test_failures_stand_beside_the_forecasts(spark):
+    df = facts(spark, [(g, "x", month(i, 2018), 1.0 + i % 12) for g in "ab" for i in range(48)])
+
+    def forecaster(found, keys, ref_date, value):
+        ahead = series.seasonal_drift(found, keys, ref_date=ref_date, value=value)
+        return ahead.withColumns({"model": F.lit("m"), "error": F.when(F.col("geo") == "a", "no fit")})
+
+    table, failures = series.predict_with_failures(df, ["geo", "label"], forecaster=forecaster)
+    assert table.count() == 96 + 4
+    assert [tuple(r) for r in failures.collect()] == [("a", "x", "no fit")]
+    assert series.predict_with_failures(df, ["geo", "label"], forecaster=series.seasonal_drift)[1].count() == 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import numeric
+from ..functions import numeric, prompts
 from ..functions import text as tx
 from ..operators import joins, keywords, ordering, packing, retrieval, rollup, scoring
 from ..plans import news
@@ -57,6 +57,21 @@ def sector_summaries(spark, folder):
                                     keys=["year", "sector_name"])
 
 
+def company_prompts(spark, folder):
+    """What a model would be asked: the scorer gives the prompt itself as its answer."""
+    asked = rollup.summarize_companies(spread(articles(spark, folder)), text="content", keys=GROUP,
+                                       scorer=lambda t: t, with_prompts=True)
+    return asked.select(*GROUP, F.length("summary_result").cast("bigint").alias("n_chars"),
+                        F.md5("summary_result").alias("prompt_md5"))
+
+
+def sector_prompts(spark, folder):
+    asked = rollup.summarize_sectors(spread(articles(spark, folder)), "doc_id", text="content",
+                                     keys=["year", "sector_name"], scorer=lambda t: t, with_prompts=True)
+    return asked.select("year", "sector_name", F.length("sector_summary").cast("bigint").alias("n_chars"),
+                        F.md5("sector_summary").alias("prompt_md5"))
+
+
 def keyword_lists(spark, folder):
     rows = articles(spark, folder).select(
         "year", "company_name", "doc_id",
@@ -198,6 +213,17 @@ ORACLES = {
     "company_summaries": f"SELECT * FROM {sql.company_summaries(sql.ARTICLES, GROUP, 'doc_id', 'content')} c",
     "sector_summaries": f"""SELECT * FROM {sql.sector_summaries(
         sql.ARTICLES, ['year', 'sector_name'], 'doc_id', 'content')} c""",
+    "company_prompts": f"""SELECT company_name, sector_name, length(summary_result) AS n_chars,
+        md5(summary_result) AS prompt_md5 FROM {sql.company_summaries(
+            sql.ARTICLES, GROUP, 'doc_id', 'content',
+            lambda x: sql.fill(prompts.COMPANY_SEGMENT, text=x),
+            lambda x: sql.fill(prompts.COMPANY_FINAL, text=x))} c""",
+    "sector_prompts": f"""SELECT year, sector_name, length(sector_summary) AS n_chars,
+        md5(sector_summary) AS prompt_md5 FROM {sql.sector_summaries(
+            sql.ARTICLES, ['year', 'sector_name'], 'doc_id', 'content',
+            lambda x: sql.fill(prompts.SECTOR_PART, sector='sector_name', number='seg_no', text=sql.fill(
+                prompts.SECTOR_SEGMENT, sector='sector_name', text=x)),
+            lambda x: sql.fill(prompts.SECTOR_FINAL, sector='sector_name', year='year', text=x))} c""",
     "keyword_lists": f"""SELECT year, company_name, page_no,
           string_agg(coalesce(k, ''), '; ' ORDER BY doc_id) AS keywords,
           string_agg(CAST(CAST(n / CAST(1000 AS DOUBLE) AS DECIMAL(38, 4)) AS VARCHAR), '; ' ORDER BY doc_id)
@@ -247,5 +273,5 @@ ORACLES = {
 
 QUERIES = {f.__name__: f for f in (
     company_text_rollup, sector_text_rollup, pack_by_chars, pack_by_words, company_summaries,
-    sector_summaries, keyword_lists, first_non_null, group_mean_broadcast, dedupe_first,
+    sector_summaries, company_prompts, sector_prompts, keyword_lists, first_non_null, group_mean_broadcast, dedupe_first,
     trend_prompts, keyword_sentiments, build_corpus, final_dataset)}

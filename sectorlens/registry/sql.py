@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from ..functions import wordlists
 
@@ -126,24 +126,42 @@ def pack_words(relation: str, keys: Sequence[str], order: str, text: str, limit:
     FROM spans s JOIN whole h USING ({k}) WHERE len(w) > 0)"""
 
 
-def company_summaries(relation: str, keys: Sequence[str], order: str, text: str = "summary") -> str:
+def fill(template: str, **parts: str) -> str:
+    """A template's literal pieces joined with SQL expressions."""
+    pieces, rest = [], template
+    while rest:
+        before, _, tail = rest.partition("{")
+        if before:
+            escaped = before.replace("\\", "\\\\").replace("'", "''").replace("\n", "\\n")
+            pieces.append(f"E'{escaped}'")
+        name, _, rest = tail.partition("}")
+        if name:
+            pieces.append(f"CAST({parts[name]} AS VARCHAR)")
+    return f"({' || '.join(pieces)})"
+
+
+def company_summaries(relation: str, keys: Sequence[str], order: str, text: str = "summary",
+                      first: Callable[[str], str] = richest_sentence,
+                      final: Callable[[str], str] = richest_sentence) -> str:
     """keys, summary_result: short texts at once, long ones by segments."""
     k = ", ".join(keys)
     filled = f"(SELECT * REPLACE (nullif({text}, '') AS {text}) FROM {relation} q)"
     return f"""(WITH size AS (SELECT {k}, coalesce(string_agg({text}, '###' ORDER BY {order}), '') AS txt
         FROM {filled} r GROUP BY {k}),
-      parts AS (SELECT {k}, string_agg({richest_sentence('segment')}, ' ' ORDER BY seg_no) AS joined
+      parts AS (SELECT {k}, string_agg({first('segment')}, ' ' ORDER BY seg_no) AS joined
         FROM {pack_chars(filled, keys, order, text)} p GROUP BY {k})
-    SELECT {k}, CASE WHEN length(txt) > 3000 THEN {richest_sentence('joined')}
-        ELSE {richest_sentence('txt')} END AS summary_result FROM size LEFT JOIN parts USING ({k}))"""
+    SELECT {k}, CASE WHEN length(txt) > 3000 THEN {final('joined')}
+        ELSE {first('txt')} END AS summary_result FROM size LEFT JOIN parts USING ({k}))"""
 
 
-def sector_summaries(relation: str, keys: Sequence[str], order: str, text: str) -> str:
+def sector_summaries(relation: str, keys: Sequence[str], order: str, text: str,
+                     first: Callable[[str], str] = richest_sentence,
+                     final: Callable[[str], str] = richest_sentence) -> str:
     """keys, sector_summary."""
     k = ", ".join(keys)
     parts = pack_words(relation, keys, order, text)
-    joined = f"string_agg({richest_sentence('segment')}, ' ' ORDER BY seg_no)"
-    return (f"(SELECT {k}, {richest_sentence('j')} AS sector_summary FROM "
+    joined = f"string_agg({first('segment')}, ' ' ORDER BY seg_no)"
+    return (f"(SELECT {k}, {final('j')} AS sector_summary FROM "
             f"(SELECT {k}, {joined} AS j FROM {parts} p GROUP BY {k}) q)")
 
 

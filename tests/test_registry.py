@@ -3,11 +3,11 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as registered
+from sectorlens.registry import catalog
 from tools.check import TABLES, canonical
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")

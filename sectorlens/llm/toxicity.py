@@ -208,17 +208,19 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
         F.broadcast(chosen), id_column).select("text", "y"))
 
     def count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 16_000_000):
+        a, b = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        for batch in slices(batches, "text"):
             words = words_of(batch["text"], NOT_LETTERS)
+            if not len(words.row):
+                continue
             y = np.asarray(batch["y"])
-            pairs = np.unique((words.row * BUCKETS + features(words)).reshape(-1)) \
-                if len(words.row) else np.zeros(0, np.int64)
+            pairs = np.unique((words.row * BUCKETS + features(words)).reshape(-1))
             bucket, toxic = pairs % BUCKETS, y[pairs // BUCKETS] == 1
-            a = np.bincount(bucket[toxic], minlength=BUCKETS)
-            b = np.bincount(bucket[~toxic], minlength=BUCKETS)
-            seen = np.flatnonzero(a + b)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in (seen, a[seen], b[seen])], ["bucket", "a", "b"])
+            np.add.at(a, bucket[toxic], 1)
+            np.add.at(b, bucket[~toxic], 1)
+        seen = np.flatnonzero(a + b)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.int64()) for x in (seen, a[seen], b[seen])], ["bucket", "a", "b"])
 
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sum(n for y, n in sizes.items() if y != 1)

@@ -21,7 +21,7 @@ from .words import slices
 
 MODEL, END, LONGEST = "word_bpe_49k.json", 2, 4096
 # Distinct chunks that a worker's table keeps at most, and the longest one worth keeping.
-TABLE, LONGEST_CHUNK = 800_000, 64
+TABLE, LONGEST_CHUNK = 500_000, 64
 # Texts whose words the tokenizer's own pattern, fixed in its file, cuts as follows.
 _PLAIN = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*")
 _WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")

@@ -26,7 +26,7 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _CHUNK = re.compile(f"{MARK}*[{_LETTER}]+(?=[{MARK}.,\n]|$)|\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 _CROSSING = re.compile(f"[^{MARK}]{MARK}|[{_LETTER}][.,]|\n")
 # Chunks that a task's table keeps at most, and the longest one worth keeping.
-TABLE, LONGEST = 500_000, 48
+TABLE, LONGEST = 400_000, 48
 
 
 class ChunkTable:

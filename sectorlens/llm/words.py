@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-LIMIT = 2_000_000
+LIMIT = 1_000_000
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 # Separators where only digits, letters and bytes beyond ASCII make words.
 NOT_LETTERS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])

@@ -2,12 +2,15 @@
 
 Only suffixes at minimiser positions are kept: the word run of least hash in every window that fits
 into the shortest passage sought, so two copies of a passage keep the same places.  Kept suffixes
-are sorted by the words on either side of their place, then by document; neighbours in this order
-that begin alike are compared, and their match is extended word by word to the left and the right.
+are sorted by the words on either side of their place, then by all words of the windows that the
+place stands for, then by document.  Neighbours alike in all of these are copies of each other;
+where places agree only in the nearer words, the first of each kind is asked again, window by
+window, so that no third copy hides a passage that two of them share.  Matches are extended word by
+word to the left and the right.
 
 The sort is a range sort over (words, document, place), so a passage that stands in a third of all
 documents fills many tasks; a task hands its first and last row on, to be compared across the edge.
-A suffix is compared with its neighbour only, so a passage of n copies gives n - 1 pairs.
+A copy is compared with its neighbour only, so a passage of n copies gives n - 1 pairs.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,11 +31,11 @@ from .words import BLANKS, Words, mixed, runs, slices, words_of
 LEAST, RUN, SIDE = 50, 8, 2
 
 
-def minimisers(words: Words, least: int = LEAST, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs by their first word, and the words at which a run is kept.
+def minimisers(words: Words, least: int = LEAST, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs by their first word; the windows of ``least`` words of one text, by their
+    first word, and the word at which the kept run of each begins.
 
-    Every stretch of ``least`` words of one text holds a kept run, chosen by its words alone: the
-    leftmost run of least hash in it.
+    The kept run is chosen by the window's words alone: the leftmost run of least hash in it.
     """
     found, at = runs(words, run)
     by_word = np.full(len(words.row), np.iinfo(np.uint64).max, np.uint64)
@@ -39,7 +43,7 @@ def minimisers(words: Words, least: int = LEAST, run: int = RUN) -> tuple[np.nda
     width = least - run + 1
     count = len(words.row) - least + 1
     if count <= 0:
-        return by_word, np.zeros(0, np.int64)
+        return by_word, np.zeros(0, np.int64), np.zeros(0, np.int64)
     # Leftmost minimum of windows of 1, 2, 4 … runs, then of two that overlap to the width.
     best, size = np.arange(len(by_word)), 1
     while 2 * size <= width:
@@ -50,75 +54,133 @@ def minimisers(words: Words, least: int = LEAST, run: int = RUN) -> tuple[np.nda
     best = np.where(by_word[right] < by_word[left], right, left)
     start = np.arange(count)
     inside = words.row[start] == words.row[start + least - 1]
-    return by_word, np.unique(best[inside])
+    return by_word, start[inside], best[inside]
 
 
 def _suffixes(docs: DataFrame, least: int) -> DataFrame:
-    """Rows (key, doc_id, pos): each kept suffix by the words to its right and to its left."""
+    """Rows (key, whole, doc_id, pos): each kept suffix by the words to its right or to its left, and
+    by all words of the windows it is kept for.
+
+    A window with words enough to the right of its kept run belongs to the right key, any other to
+    the left one; so the words of a key lie in every window that belongs to it.
+    """
+    sides = min(SIDE, (least + 1 - RUN) // (2 * RUN))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             words = words_of(batch["text"], BLANKS)
-            by_word, kept = minimisers(words, least)
+            by_word, start, kept = minimisers(words, least)
+            if not len(start):
+                continue
             begin = words.first()
-            keys, places = [], []
-            for side, step in ((1, RUN), (2, -RUN)):
-                key, whole = mixed(by_word[kept], side), np.ones(len(kept), bool)
-                for more in range(1, SIDE + 1):
-                    there = kept + more * step
-                    near = np.clip(there, 0, max(0, len(words.row) - RUN))
-                    whole &= (there == near) & (words.row[near] == words.row[kept]) \
-                        & (words.row[np.minimum(near + RUN - 1, len(words.row) - 1)] == words.row[kept])
-                    key = mixed(key + by_word[near])
-                keys.append(key[whole])
-                places.append(kept[whole])
-            key, place = np.concatenate(keys), np.concatenate(places)
+            left = kept - start > least - RUN * (sides + 1)
+            # Windows of one place and side follow each other.
+            new = np.flatnonzero(np.append(True, (kept[1:] != kept[:-1]) | (left[1:] != left[:-1])))
+            place, low, high = kept[new], start[new], start[np.append(new[1:], len(start)) - 1]
+            side = np.where(left[new], 2, 1).astype(np.uint64)
+            step = np.where(left[new], -RUN, RUN)
+            key = mixed(by_word[place] + mixed(side))
+            for more in range(1, sides + 1):
+                key = mixed(key + by_word[place + more * step])
+            whole = mixed(_spans(by_word, low, high + least - RUN + 1)
+                          + mixed((place - low).astype(np.uint64)) + mixed((high - low).astype(np.uint64), 1))
             row = words.row[place]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), batch["doc_id"].take(pa.array(row)),
-                 pa.array(place - begin[row], pa.int32())], ["key", "doc_id", "pos"])
+                [pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)),
+                 batch["doc_id"].take(pa.array(row)), pa.array(place - begin[row], pa.int32())],
+                ["key", "whole", "doc_id", "pos"])
+
+    return docs.mapInArrow(run, "key long, whole long, doc_id long, pos int")
 
-    return docs.mapInArrow(run, "key long, doc_id long, pos int")
 
+def _spans(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the values from each start up to its end, by their order: a polynomial modulo 2^64."""
+    base = 0x9E3779B97F4A7C15
+    powers = np.cumprod(np.full(len(values), base, np.uint64))
+    back = np.cumprod(np.full(len(values), pow(base, -1, 1 << 64), np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers)])
+    return (sums[end] - sums[start]) * back[start]
 
-def _neighbours(suffixes: DataFrame) -> DataFrame:
-    """Pairs of neighbouring suffixes of equal key: (doc_id, pos) and the one before it."""
+
+def _windows(chosen: DataFrame, least: int) -> DataFrame:
+    """Rows (key, whole, doc_id, pos) like suffixes: all windows whose kept run begins at one of the
+    row's ``places``, by all their words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            words = words_of(batch["text"], BLANKS)
+            by_word, start, kept = minimisers(words, least)
+            begin = words.first()
+            places = batch["places"]
+            row = np.repeat(np.arange(len(batch)), np.asarray(pc.list_value_length(places)))
+            wanted = np.zeros(len(words.row) + 1, bool)
+            wanted[np.minimum(begin[row] + np.asarray(places.flatten()), len(words.row))] = True
+            start = start[wanted[kept]] if len(start) else start
+            key = np.zeros(len(start), np.uint64)
+            for step in [*range(0, least - RUN, RUN), least - RUN]:
+                key = mixed(key + by_word[start + step])
+            row = words.row[start]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(np.zeros(len(start), np.int64)),
+                 batch["doc_id"].take(pa.array(row)), pa.array(start - begin[row], pa.int32())],
+                ["key", "whole", "doc_id", "pos"])
+
+    return chosen.mapInArrow(run, "key long, whole long, doc_id long, pos int")
+
+
+def _neighbours(suffixes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of neighbouring suffixes of equal key and whole, (doc_id, pos) and the one before it; and
+    (doc_id, pos) of the first suffix of each whole where a key has several."""
     parts = int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = suffixes.repartitionByRange(parts, "key", "doc_id", "pos") \
-                      .sortWithinPartitions("key", "doc_id", "pos")
+    order = ["key", "whole", "doc_id", "pos"]
+    ordered = suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+
+    def rows(edge: int | None, now: list, before: list | None = None) -> pa.RecordBatch:
+        count = len(now[0])
+        before = before or [pa.nulls(count, pa.int64()), pa.nulls(count, pa.int32())]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([edge] * count, pa.int64()), *map(pa.array, now), *map(pa.array, before)],
+            ["edge", *order, "before_doc", "before_pos"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last = TaskContext.get().partitionId(), None
-        names = ["edge", "key", "doc_id", "pos", "before_doc", "before_pos"]
+        # last: the row before; head: the first one of this task that is like it.
+        part, last, head = TaskContext.get().partitionId(), None, None
         for batch in batches:
             if not len(batch):
                 continue
-            columns = [np.asarray(batch[n]) for n in ("key", "doc_id", "pos")]
+            columns = [np.asarray(batch[n]) for n in order]
             if last is None:
-                yield pa.RecordBatch.from_pydict(dict(zip(names, [
-                    pa.array([2 * part], pa.int64()), *[pa.array(c[:1]) for c in columns],
-                    pa.array([None], pa.int64()), pa.array([None], pa.int32())])))
-                last = [c[:0] for c in columns]
-            key, doc, pos = (np.concatenate(x) for x in zip(last, columns))
-            same = np.flatnonzero(key[1:] == key[:-1])
-            yield pa.RecordBatch.from_pydict(dict(zip(names, [
-                pa.nulls(len(same), pa.int64()), pa.array(key[same]), pa.array(doc[same + 1]),
-                pa.array(pos[same + 1]), pa.array(doc[same]), pa.array(pos[same])])))
-            last = [c[-1:] for c in columns]
+                yield rows(2 * part, [c[:1] for c in columns])
+                last = head = [c[:1] for c in columns]
+                columns = [c[1:] for c in columns]
+            now = [np.concatenate(x) for x in zip(last, columns)]
+            key, whole, doc, pos = now
+            alike = key[1:] == key[:-1]
+            same = alike & (whole[1:] == whole[:-1])
+            at = np.flatnonzero(same)
+            yield rows(None, [c[at + 1] for c in now], [doc[at], pos[at]])
+            # Firsts, the one that began in an earlier batch at 0.
+            first = np.append(0, np.flatnonzero(~same) + 1)
+            heads = [np.append(h, c[first[1:]]) for h, c in zip(head, now)]
+            several = np.flatnonzero(alike[first[1:] - 1])
+            several = np.union1d(several, several + 1)
+            yield rows(None, [c[several] for c in heads])
+            last, head = [c[-1:] for c in now], [c[-1:] for c in heads]
         if last is not None:
-            yield pa.RecordBatch.from_pydict(dict(zip(names, [
-                pa.array([2 * part + 1], pa.int64()), *[pa.array(c) for c in last],
-                pa.array([None], pa.int64()), pa.array([None], pa.int32())])))
+            yield rows(2 * part + 1, last, head[2:])
 
-    found = stored(ordered.mapInArrow(
-        run, "edge long, key long, doc_id long, pos int, before_doc long, before_pos int"))
+    found = stored(ordered.mapInArrow(run, "edge long, key long, whole long, doc_id long, pos int, "
+                                           "before_doc long, before_pos int"))
     # Two rows per task: the last one of a task and the first of the next are neighbours too.
-    order = Window.orderBy("edge")
+    lag = {c: F.lag(c).over(Window.orderBy("edge")) for c in [*order, "before_doc", "before_pos"]}
     edges = found.where("edge IS NOT NULL").select(
-        "edge", "key", "doc_id", "pos", F.lag("key").over(order).alias("k"),
-        F.lag("doc_id").over(order).alias("before_doc"), F.lag("pos").over(order).alias("before_pos"))
-    across = edges.where("edge % 2 = 0 AND key = k")
-    columns = ["doc_id", "pos", "before_doc", "before_pos"]
-    return found.where("edge IS NULL").select(*columns).unionAll(across.select(*columns))
+        "edge", *order, *[lag[c].alias(f"_{c}") for c in lag]).where("edge % 2 = 0 AND key = _key")
+    across = edges.where("whole = _whole").selectExpr("doc_id", "pos", "_doc_id AS before_doc", "_pos AS before_pos")
+    inner = found.where("edge IS NULL")
+    pairs = inner.where("before_doc IS NOT NULL").select("doc_id", "pos", "before_doc", "before_pos").unionAll(across)
+    firsts = inner.where("before_doc IS NULL").select("doc_id", "pos").unionAll(
+        edges.select("doc_id", "pos")).unionAll(
+        edges.selectExpr("_before_doc AS doc_id", "_before_pos AS pos"))
+    return pairs, firsts
 
 
 def extended(words: list, before: list, pairs: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
@@ -151,18 +213,25 @@ def matches(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 
     Per match: the id, ``start`` (words before it) and ``length`` in words, and the place of an
     earlier copy, ``source_id`` and ``source_start``; places are ordered by id and position, and the
-    earlier copy is the neighbour in the suffix order.  Words are compared with A-Z in lower case.
+    earlier copy is a neighbour in the order of suffixes or of windows.  Words are compared with A-Z in lower case.
     Rows with a null id or text, and texts of fewer words, give nothing; of repeated rows with one
     id the text that sorts first counts; other columns are ignored.
     """
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text")) \
                 .where("doc_id IS NOT NULL AND text IS NOT NULL")
-    pairs = _neighbours(stored(_suffixes(plain, least)))
-    grouped = stored(pairs.groupBy("doc_id", "before_doc").agg(
-        F.collect_set(F.struct("pos", "before_pos")).alias("places")))
+    pairs, firsts = _neighbours(stored(_suffixes(plain, least)))
     texts = plain.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(plain) else plain
-    needed = grouped.select("doc_id").unionAll(grouped.select("before_doc")).distinct()
-    chosen = texts.join(needed, "doc_id", "left_semi")
+    none = F.lit(None).cast("int").alias("pos")
+    needed = firsts.unionAll(pairs.select("doc_id", none)).unionAll(pairs.select("before_doc", none)) \
+                   .groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
+    chosen = stored(texts.join(needed, "doc_id"))
+    again, _ = _neighbours(stored(_windows(chosen, least)))
+    chosen = chosen.drop("places")
+    # Windows that overlap on one diagonal are one match: the first of them stands for all.
+    again = again.groupBy("doc_id", "before_doc", F.expr("pos - before_pos"), F.floor(F.col("pos") / least)).agg(
+        F.min("pos").alias("pos"), F.min("before_pos").alias("before_pos"))
+    grouped = stored(pairs.unionByName(again.select(*pairs.columns)).groupBy("doc_id", "before_doc").agg(
+        F.collect_set(F.struct("pos", "before_pos")).alias("places")))
     both = grouped.join(chosen.withColumnRenamed("text", "x"), "doc_id") \
                   .join(chosen.withColumnsRenamed({"doc_id": "before_doc", "text": "y"}), "before_doc")
 

@@ -1,0 +1,56 @@
+"""Places where an operator once did less than the whole job."""
+
+import collections
+import random
+
+import pytest
+
+from sectorlens.llm import suffixes
+
+from test_brute_force import cut
+
+
+def repeated(texts, least=50):
+    """Words of each text that lie in a window which stands in an earlier place too."""
+    seen, found = set(), collections.defaultdict(set)
+    for key in sorted(texts):
+        w = cut(texts[key])
+        for at in range(len(w) - least + 1):
+            window = tuple(w[at:at + least])
+            if window in seen:
+                found[key].update(range(at, at + least))
+            seen.add(window)
+    return dict(found)
+
+
+def covered(rows):
+    found = collections.defaultdict(set)
+    for r in rows:
+        assert (r.source_id, r.source_start) < (r.doc_id, r.start)
+        found[r.doc_id].update(range(r.start, r.start + r.length))
+    return dict(found)
+
+
+def test_no_third_copy_hides_a_passage(spark):
+    """Of each three documents the first and last share a passage, the second holds it changed."""
+    pick, texts = random.Random(9), {}
+
+    def words(n):
+        return [f"w{pick.randint(0, 10 ** 9)}" for _ in range(n)]
+
+    for size in [50, 51, 55, 60, 75, 120] * 10:
+        passage = words(size)
+        changed = list(passage)
+        for at in (pick.randrange(8), size - 1 - pick.randrange(8)):
+            changed[at] = "changed"
+        for body in (passage, changed, passage):
+            texts[len(texts)] = " ".join(words(pick.randint(0, 40)) + body + words(pick.randint(0, 40)))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert covered(suffixes.matches(docs).collect()) == repeated(texts)
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_no_repeated_word_is_missed(spark, folder):
+    docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert covered(suffixes.matches(docs).collect()) == repeated(texts)

@@ -65,8 +65,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of whole sequences, one document each."""
-    return packing.packed(docs, keep=False)
+    """Pieces of whole sequences with their ids, one document each."""
+    return packing.packed(docs)
 
 
 STAGES = [

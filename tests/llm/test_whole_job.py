@@ -5,7 +5,8 @@ import random
 
 import pytest
 
-from sectorlens.llm import suffixes
+import corpus_pipeline
+from sectorlens.llm import packing, suffixes
 
 from test_brute_force import cut
 
@@ -54,3 +55,14 @@ def test_no_repeated_word_is_missed(spark, folder):
     docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert covered(suffixes.matches(docs).collect()) == repeated(texts)
+
+
+def test_the_pipeline_ends_in_sequences_with_their_ids(spark):
+    rows = [(1, "one two three four five"), (2, ""), (3, None)]
+    found = collections.defaultdict(list)
+    for r in corpus_pipeline.pack(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect():
+        found[r.doc_id].append((r.start, list(r.ids)))
+    table = packing.table_of(packing.tokenizer_path(packing.MODEL))
+    for key, text in rows:
+        ids = [i for _, piece in sorted(found[key]) for i in piece]
+        assert ids == table.model.encode(text or "", add_special_tokens=False).ids + [packing.END]

@@ -122,9 +122,27 @@ def _features(rows: DataFrame, words: DataFrame, table: list[float]) -> DataFram
 
 def _odds(labelled: DataFrame, column: str, name: str) -> DataFrame:
     """Log odds of label 1 by a value, drawn towards even odds by two findings."""
-    positive = F.sum("label")
+    positive = F.sum(F.col("label") * F.col("weight"))
     return labelled.groupBy(column).agg(
-        F.log((positive + 1) / (F.count(F.lit(1)) - positive + 1)).alias(name))
+        F.log((positive + 1) / (F.sum("weight") - positive + 1)).alias(name))
+
+
+def _sample(known: DataFrame, labelled: int) -> DataFrame:
+    """About ``labelled`` labelled rows, chosen by hash in each class for itself: of the rarer class
+    half of them or all, the rest of the other.  ``weight`` is how many each stands for, ``half`` is
+    0 for those the forest learns from, which has every class there is, and 1 for the others."""
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rarer = min(min(counts.values(), default=0), labelled // 2)
+    share = {k: min(1.0, (rarer if n == min(counts.values()) else labelled - rarer) / n) for k, n in counts.items()}
+    of = F.lit(1.0)
+    for label, value in share.items():
+        of = F.when(F.col("label") == label, F.lit(value)).otherwise(of)
+    place = F.pmod(F.xxhash64("candidate", "doc_id", "nth"), F.lit(1 << 52))
+    chosen = known.withColumn("place", place).where(F.col("place") < of * float(1 << 52)) \
+                  .withColumn("weight", 1 / of)
+    # Bounded by the sample's size.
+    order = Window.partitionBy("label").orderBy("place", "doc_id", "nth", "row")
+    return chosen.withColumn("half", (F.row_number().over(order) - 1) % 2)
 
 
 def _with_odds(df: DataFrame, sides: list[tuple[str, str, DataFrame]]) -> DataFrame:
@@ -134,35 +152,37 @@ def _with_odds(df: DataFrame, sides: list[tuple[str, str, DataFrame]]) -> DataFr
 
 
 def scanned(docs: DataFrame, label: Column, id_column: str = "doc_id", path: str = "source",
-            text: str = "text", labelled: int = LABELLED) -> DataFrame:
+            text: str = "text", labelled: int = LABELLED, known: Column | None = None) -> DataFrame:
     """Score every candidate of whole texts.
 
     ``label`` is evaluated on the rows of :func:`candidates`: 1 or 0 for a labelled finding, null
-    for all others.  At most about ``labelled`` of them, chosen by hash, are learned from.  Result:
+    for all others.  About ``labelled`` of them at most, chosen by hash in each class, are learned from.
+    ``known`` is evaluated likewise: where it is 1, the score is 1 whatever the forest says.  Result:
     ``row``, ``doc_id``, ``nth``, ``start`` (characters before it), ``candidate`` and ``score``
-    (0 to 1).  If the labels are all of one kind, so are the scores; without labels they are 0.
+    (0 to 1).  If the labels are not of both kinds, labelled findings score their label and others
+    1 if they mix digits with letters that dictionary words do not cover, else 0.
     Null and empty texts have no candidates; repeated rows are scanned each; other columns are
     ignored.
     """
-    rows = stored(candidates(docs, id_column, path, text).withColumn("label", label.cast("int")))
+    rows = stored(candidates(docs, id_column, path, text).withColumn("label", label.cast("int"))
+                  .withColumn("known", F.lit(False) if known is None else F.coalesce(known.cast("int") == 1, F.lit(False))))
     words = stored(dictionary(docs, text))
     full = stored(_features(rows, words, transitions(words)))
-    known = full.where("label IS NOT NULL")
-    count = known.count()
-    share = min(1.0, labelled / max(1, count))
-    place = F.pmod(F.xxhash64("candidate", "doc_id", "nth"), F.lit(2_000_000))
-    sample = stored(known.withColumn("place", place).where(F.col("place") < int(share * 2_000_000)))
-    first, second = sample.where("place % 2 = 0"), sample.where("place % 2 = 1")
+    sample = stored(_sample(full.where("label IS NOT NULL"), labelled))
+    first, second = sample.where("half = 1"), sample.where("half = 0")
     sides = [(c, n, _side(_odds(first, c, n))) for c, n in (
         ("path", "path_odds"), ("word_before", "before_odds"), ("word_after", "after_odds"))]
-    learned = stored(_with_odds(second, sides).select("label", *FEATURES))
+    learned = stored(_with_odds(second, sides).select("label", "weight", *FEATURES))
     kinds = [r["label"] for r in learned.select("label").distinct().collect()]
     ready = _with_odds(full, sides)
     if len(kinds) == 2:
         scored = _forest(learned).transform(_assembled(ready)).withColumn(
             "score", F.get(vector_to_array("probability"), F.lit(1)))
     else:
-        scored = ready.withColumn("score", F.lit(float(kinds[0]) if kinds else 0.0))
+        mixed = F.col("digits").between(0.05, 0.95) & (F.col("coverage") < 0.5) \
+            & (F.col("distinct") * F.col("size") >= 8)
+        scored = ready.withColumn("score", F.coalesce("label", mixed.cast("int")).cast("double"))
+    scored = scored.withColumn("score", F.when(F.col("known"), 1.0).otherwise(F.col("score")))
     # The candidates of a text in order: the lengths before one give its place.
     order = Window.partitionBy("row").orderBy("nth")
     size = F.length("candidate")
@@ -176,7 +196,7 @@ def _assembled(df: DataFrame) -> DataFrame:
 
 def _forest(learned: DataFrame) -> RandomForestClassificationModel:
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11, labelCol="label",
-                                    featuresCol="features", subsamplingRate=0.8)
+                                    featuresCol="features", weightCol="weight", subsamplingRate=0.8)
     return forest.fit(_assembled(learned.withColumn("label", F.col("label").cast("double"))))
 
 

@@ -4,9 +4,10 @@ import collections
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sectorlens.llm import packing, suffixes
+from sectorlens.llm import packing, secrets, suffixes
 
 from test_brute_force import cut
 
@@ -66,3 +67,22 @@ def test_the_pipeline_ends_in_sequences_with_their_ids(spark):
     for key, text in rows:
         ids = [i for _, piece in sorted(found[key]) for i in piece]
         assert ids == table.model.encode(text or "", add_special_tokens=False).ids + [packing.END]
+
+
+def test_rare_secrets_outlast_a_thin_sample(spark):
+    """Of 4000 labelled findings 3 are secrets, and 50 are learned from; an unlabelled one is found."""
+    pick = random.Random(4)
+    rows = [(i, "x " + "".join(pick.choice("abcdefghij") for _ in range(20)), "a") for i in range(4000)]
+    rows += [(5000 + i, "x " + "".join(pick.choice("0123456789abcdef") for _ in range(40)), "a") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    label = F.when(F.col("doc_id") < 5003, (F.col("doc_id") >= 5000).cast("int"))
+    for size in (50, 50_000):
+        found = secrets.scanned(docs, label, labelled=size).where("score >= 0.5").collect()
+        assert {r.doc_id for r in found} == {5000, 5001, 5002, 5003}
+
+
+def test_labels_of_one_kind_leave_a_rule(spark):
+    rows = [(1, "x internationalisation", "a"), (2, "x b44e15e09fd311c3cf3163b66d5a9875b883d8ce", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for label in (F.when(F.col("doc_id") == 1, 0), F.lit(None).cast("int")):
+        assert {r.doc_id: r.score for r in secrets.scanned(docs, label).collect()} == {1: 0.0, 2: 1.0}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sectorlens.llm import jaccard, packing, secrets, suffixes, toxicity
-from sectorlens.llm.queries import finding_label
+from sectorlens.llm.queries import finding_form, finding_label
 from sectorlens.llm.stages import stored
 from sectorlens.operators.joins import is_small
 
@@ -60,7 +60,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts; all documents stay."""
-    found = secrets.scanned(docs, finding_label())
+    found = secrets.scanned(docs, finding_label(), known=finding_form())
     return _counted(secrets.masked(docs, found))
 
 

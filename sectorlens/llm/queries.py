@@ -206,19 +206,51 @@ def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.matches(table(spark, folder, "documents"))
 
 
+#: Secrets that their issuer's prefix and length give away.
+ISSUED = ("(AKIA|ASIA)[A-Z0-9]{16}", "gh[opsur]_[A-Za-z0-9]{36,}", "github_pat_[A-Za-z0-9_]{22,}",
+          "glpat-[A-Za-z0-9_-]{20,}", "[rs]k_(live|test)_[A-Za-z0-9]{16,}", "xox[abeoprs]-[A-Za-z0-9-]{10,}",
+          "AIza[A-Za-z0-9_-]{35}", "sk-[A-Za-z0-9_-]{20,}", "npm_[A-Za-z0-9]{36}", "hf_[A-Za-z0-9]{30,}")
+_PIECE = "([A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8})"
+
+
+def finding_form():
+    """1 for candidates that are secrets by their form, 0 for those that are clearly none, else null.
+
+    Secrets have an issuer's prefix, or stand in an assignment, quoted or not: as hexadecimal keys
+    of a usual length in quotes, or to a name like key, token, secret or password with letters and
+    digits mixed and many different ones.  Words, digits alone and paths are none, unless such a
+    name stands before them.
+    """
+    # A value may follow its name without a blank; then both are in the candidate.
+    inner = "^[A-Za-z_][A-Za-z0-9_-]*=(?=[^=])"
+    value = F.regexp_replace("candidate", inner, "")
+    before = F.concat("before", F.regexp_extract("candidate", inner, 0))
+    issued = value.rlike("^(" + "|".join(ISSUED) + ")$")
+    assigned = before.rlike("""[A-Za-z0-9_][\"']?\\s*(=|:|:=|=>)\\s*[\"']?$""")
+    named = before.rlike("""(?i)(key|token|secret|passw|pwd|auth|credential)[a-z0-9_.-]*["']?\\s*(=|:|:=|=>)"""
+                         """\\s*((bearer|basic)\\s+)?["']?$""")
+    quoted = before.rlike("""["']$""") & F.col("after").rlike("""^["']""")
+    hexadecimal = value.rlike("^([0-9a-f]+|[0-9A-F]+)$") & value.rlike("[A-Fa-f]") & value.rlike("[0-9]") \
+        & F.length(value).isin(32, 40, 48, 56, 64, 96, 128)
+    mixed = value.rlike("[A-Za-z]") & value.rlike("[0-9]") & (F.length(value) >= 16) \
+        & (F.size(F.array_distinct(F.split(value, ""))) >= 10) \
+        & ~value.rlike(f"^[/_+=-]*{_PIECE}([/_+=-]+{_PIECE})*[/_+=-]*$")
+    secret = issued | (hexadecimal & assigned & quoted) | (named & (hexadecimal | mixed))
+    plain = F.col("candidate").rlike(f"^[/_+=-]*{_PIECE}([/_+=-]+{_PIECE})*[/_+=-]*$") \
+        | F.col("candidate").rlike("^[0-9/_+=-]+$")
+    return F.when(secret, 1).when(plain & ~named, 0)
+
+
 def finding_label(fold: str = "doc_id"):
     """Labels for candidates of two thirds of the documents, by a check of their form.
 
-    No table holds labelled findings.  The value of an assignment in quotes that is 40 hexadecimal
-    digits is a secret, any other candidate is none.
+    No table holds labelled findings.  What :func:`finding_form` leaves open is not labelled.
     """
-    secret = (F.col("candidate").rlike("^([0-9a-f]{40}|[0-9A-F]{40})$")
-              & F.col("before").rlike("""[A-Za-z_]\\s*[=:]\\s*["']$""") & F.col("after").rlike("""^["']"""))
-    return F.when(~toxicity.held_out(fold), secret.cast("int"))
+    return F.when(~toxicity.held_out(fold), finding_form())
 
 
 @query
 def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
-    found = secrets.scanned(table(spark, folder, "documents"), finding_label())
+    found = secrets.scanned(table(spark, folder, "documents"), finding_label(), known=finding_form())
     return found.where("score >= 0.5").select(
         "doc_id", "start", F.length("candidate").alias("length"), "candidate", "score")

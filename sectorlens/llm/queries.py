@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licenses, neighbours, packing, pieces, quality, secrets, suffixes, toxicity, urls
+from . import jaccard, licenses, neighbours, packing, periods, pieces, quality, secrets, suffixes, toxicity, urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -254,3 +254,26 @@ def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scanned(table(spark, folder, "documents"), finding_label(), known=finding_form())
     return found.where("score >= 0.5").select(
         "doc_id", "start", F.length("candidate").alias("length"), "candidate", "score")
+
+
+def _looped(docs: DataFrame) -> DataFrame:
+    """Every tenth document by the checksum of its id repeats a stretch to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"))
+    rows = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"),
+                       F.floor(h / 10).cast("long").alias("g"))
+    n = F.size("w")
+    placed = rows.withColumn("a", F.when(n > 0, F.col("g") % n))
+    placed = placed.withColumn("p", F.expr("1 + (size(w) - a) div (3 + g % 8)"))
+    looped = F.expr("array_join(transform(w, (x, i) -> IF(i < a, x, w[cast(a + (i - a) % p AS int)])), ' ')")
+    return placed.select("doc_id", F.when(n > 0, looped).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periods.found(_looped(table(spark, folder, "documents")), keep=False)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size(lines) > 0, "\n").otherwise("")).cast("binary"), 256)
+        .alias("runs_sha256"), F.col("collapsed").alias("collapsed_sha256"))

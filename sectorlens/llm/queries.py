@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licenses, neighbours, packing, periods, pieces, quality, secrets, suffixes, toxicity, urls
+from . import jaccard, licenses, negatives, neighbours, packing, periods, pieces, quality, secrets, suffixes, toxicity, urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -277,3 +277,32 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
         F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size(lines) > 0, "\n").otherwise("")).cast("binary"), 256)
         .alias("runs_sha256"), F.col("collapsed").alias("collapsed_sha256"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH points AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM points a JOIN points b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INT AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
+ AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licenses, negatives, neighbours, packing, periods, pieces, quality, secrets, suffixes, toxicity, urls
+from . import (byte_pairs, jaccard, licenses, negatives, neighbours, packing, periods, pieces, quality, secrets,
+               suffixes, toxicity, urls)
 
 QUERIES, ORACLES = {}, {}
 
@@ -306,3 +307,8 @@ SELECT p.anchor_id, positive_id,
 FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10"""
+
+
+@query
+def op12_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_pairs.encoded(table(spark, folder, "documents"), keep=False)

@@ -1,35 +1,41 @@
-"""Byte-level BPE by Spark's higher-order functions.
-
-A text falls into words by the tokenizer's pattern, and each word is merged on its own.  A word is
-an array of its bytes, every byte as the Latin-1 character of that number, so that arrays of parts
-can be joined and compared as strings.  Ranks are a literal: maps in an array, found by checksum.
-``aggregate`` folds the merges: each step joins the leftmost pair of lowest rank and looks up the two
-pairs it makes.  Decoding looks ids up in a literal array of pieces and joins the pieces' bytes.
-
-Distinct words are counted over all documents, and the most frequent ones, at most ``FREQUENT``,
-are folded once; their ids become a literal too, of that bounded size.  All other words are folded
-where they stand, so the result does not depend on the bound and no text is shuffled.
+"""Byte-level BPE: merges folded by Spark's higher-order functions over distinct words.
+
+A text falls into words by the tokenizer's pattern, and each word is merged on its own.  Distinct
+words are counted over all documents, and the most frequent ones, at most ``FREQUENT``, are merged
+once in column expressions.  There a word is an array of its bytes, every byte as the Latin-1
+character of that number, so that parts can be joined and compared as strings.  Ranks are a
+literal: maps in an array, found by checksum.  ``aggregate`` folds the merges: each step joins the
+leftmost pair of lowest rank.
+
+The table of these words, of bounded size, goes to the tasks that read the texts.  They join the
+ids by place, merge rarer words by a queue, once per word while a worker's own table holds it, and
+decode ids by joining the pieces' bytes.  So no text is shuffled, and the bound on the table does
+not show in the result.
 """
 
 from __future__ import annotations
 
+import base64
 import functools
+import hashlib
 import heapq
 import importlib
 import json
+import uuid
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .stages import stored, tokenizer_path
+from .words import slices
 
 RANKS = "byte_bpe_50k.tiktoken"
-# Words with ready ids, and maps that a literal is dealt to.
-FREQUENT, MAPS = 1 << 18, 1 << 16
-# Bytes beyond which a word is merged by a queue: folding takes time with the square of the length.
+# Words that are merged once for all tasks, rarer ones that a worker keeps, maps that ranks are dealt to.
+FREQUENT, TABLE, MAPS = 1 << 18, 300_000, 1 << 16
+# Bytes beyond which a word counts as rare: folding takes time with the square of the length.
 LONG = 160
 _NONE = 2 ** 31 - 1
 
@@ -37,21 +43,10 @@ _NONE = 2 ** 31 - 1
 @functools.lru_cache(maxsize=4)
 def ranks_of(path: str) -> dict[bytes, int]:
     """Pieces and ranks of a rank file: a piece in base64 and its rank per line."""
-    import base64
-
     with open(path, "rb") as file:
         return {base64.b64decode(piece): int(rank) for piece, rank in (line.split() for line in file if line.strip())}
 
 
-def pattern() -> str:
-    """The pattern that cuts texts into words, with white space and classes of all of Unicode."""
-    return "(?U)" + importlib.import_module("public_tokenizers").PATTERN
-
-
-def words_in(text: Column, cut: str) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(cut), F.lit(0))
-
-
 def dealt(entries: dict[str, object], maps: int = MAPS) -> list[dict[str, object]]:
     """Entries in maps of a few each, by their key's checksum."""
     maps = min(maps, max(1, len(entries)))
@@ -79,68 +74,40 @@ def _let(value: Column, use) -> Column:
 
 
 class Merges:
-    """Expressions that encode words and decode ids by a rank file."""
+    """Expressions that encode words by a rank file."""
 
     def __init__(self, path: str):
-        self.path = path
-        pieces = {piece.decode("latin-1"): rank for piece, rank in ranks_of(path).items()}
-        self.rank = Lookup(pieces, "int")
-        by_id: list[str | None] = [None] * (max(pieces.values()) + 1)
-        for piece, rank in pieces.items():
-            by_id[rank] = piece
-        self.pieces = F.from_json(F.lit(json.dumps(by_id)), "array<string>")
+        self.rank = Lookup({piece.decode("latin-1"): rank for piece, rank in ranks_of(path).items()}, "int")
 
-    def _pair(self, left: Column, right: Column) -> Column:
-        return F.coalesce(self.rank(F.concat(left, right)), F.lit(_NONE))
+    def _ranks(self, parts: Column, many: Column) -> Column:
+        """The rank of each part joined with the next one; the last has none."""
+        return F.zip_with(parts, F.slice(parts, 2, many), lambda left, right: F.coalesce(
+            self.rank(F.concat(left, right)), F.lit(_NONE)))
 
     def fold(self, word: Column) -> Column:
         """Ids of a word, given as Latin-1 characters."""
-        parts = F.split(word, "")
-        start = F.struct(parts.alias("parts"), F.zip_with(
-            parts, F.slice(parts, 2, F.length(word)), self._pair).alias("ranks"))
-
-        def step(state: Column, _: Column) -> Column:
-            return _let(F.array_min(state["ranks"]), lambda low: F.when(low == _NONE, state).otherwise(
-                _let(F.array_position(state["ranks"], low).cast("int"), lambda at: self._merged(state, at))))
+        many, parts = F.length(word), F.split(word, "")
 
-        done = F.aggregate(F.sequence(F.lit(2), F.length(word)), start, step)
-        folded = F.transform(done["parts"], self.rank)
-        return _let(self.rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
+        def joined(state: Column, at: Column) -> Column:
+            # The part at ``at`` (from 1) takes in the next one.
+            fewer = F.filter(F.transform(state["parts"], lambda part, i: F.when(
+                i == at - 1, F.concat(part, F.get(state["parts"], at))).otherwise(part)), lambda part, i: i != at)
+            return F.when(F.get(state["ranks"], at - 1) == _NONE, state).otherwise(_let(
+                fewer, lambda parts: F.struct(parts.alias("parts"), self._ranks(parts, many).alias("ranks"))))
 
-    def _merged(self, state: Column, at: Column) -> Column:
-        """The state after the pair at ``at`` (from 1) is joined."""
-        parts, ranks = state["parts"], state["ranks"]
-        many = F.size(parts)
-
-        def after(joined: Column) -> Column:
-            left = F.when(at > 1, F.array(self._pair(F.get(parts, at - 2), joined))).otherwise(F.expr("cast(array() AS array<int>)"))
-            return F.struct(
-                F.concat(F.slice(parts, 1, at - 1), F.array(joined), F.slice(parts, at + 2, many)).alias("parts"),
-                F.concat(F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), left,
-                         F.array(self._pair(joined, F.get(parts, at + 1))), F.slice(ranks, at + 2, many)).alias("ranks"))
+        def step(state: Column, _: Column) -> Column:
+            lowest = F.array_position(state["ranks"], F.array_min(state["ranks"])).cast("int")
+            return _let(lowest, lambda at: joined(state, at))
 
-        return _let(F.concat(F.get(parts, at - 1), F.get(parts, at)), after)
+        start = F.struct(parts.alias("parts"), self._ranks(parts, many).alias("ranks"))
+        done = F.aggregate(F.sequence(F.lit(2), many), start, step)
+        return _let(self.rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(
+            F.transform(done["parts"], self.rank)))
 
     def word_ids(self, word: Column) -> Column:
         """Ids of a word of a text."""
         return _let(F.decode(word.cast("binary"), "ISO-8859-1"), self.fold)
 
-    def decoded(self, ids: Column) -> Column:
-        """The bytes of the ids' pieces, one after the other."""
-        return F.encode(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""), "ISO-8859-1")
-
-    def long_words(self):
-        """A function for arrays of long words: pairs wait in a queue by rank and place."""
-        path = self.path
-
-        @F.pandas_udf("array<array<int>>")
-        def merged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            ranks = ranks_of(path)
-            for words in batches:
-                yield words.map(lambda row: [queued(word.encode(), ranks) for word in row])
-
-        return merged
-
 
 def queued(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one word; time grows with its length times its logarithm."""
@@ -175,11 +142,12 @@ def queued(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return found
 
 
-def _ready(docs: DataFrame, merges: Merges, cut: str, most: int) -> dict[str, list[int]]:
-    """Ids of the most frequent words, ``most`` at most."""
-    counted = stored(docs.select(F.explode(words_in(F.col("text"), cut)).alias("word"))
-                     .where(F.octet_length("word") <= LONG).groupBy("word").count()
-                     .select("word", F.floor(8 * F.log2("count")).cast("int").alias("level")))
+def frequent_words(docs: DataFrame, ranks: str, cut: str, most: int) -> dict[str, list[int]]:
+    """Ids of the most frequent words of all texts, ``most`` words at most."""
+    merges = Merges(ranks)
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("(?U)" + cut), F.lit(0))
+    counted = stored(docs.select(F.explode(words).alias("word")).where(F.octet_length("word") <= LONG)
+                     .groupBy("word").count().select("word", F.floor(8 * F.log2("count")).cast("int").alias("level")))
     total, lowest = 0, None
     for row in counted.groupBy("level").count().orderBy(F.desc("level")).collect():
         total += row["count"]
@@ -192,6 +160,38 @@ def _ready(docs: DataFrame, merges: Merges, cut: str, most: int) -> dict[str, li
     return {row["word"]: row["ids"] for row in chosen.toArrow().to_pylist()}
 
 
+class WordTable:
+    """Ids of words: those handed over, and those that a worker has merged itself, ``size`` at most.
+
+    An entry holds a word's decimal ids joined by spaces, their number, and the bytes they decode to.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], cut: str, ready: dict[str, list[int]], size: int = TABLE):
+        import regex
+
+        self.ranks, self.pieces = ranks, {rank: piece for piece, rank in ranks.items()}
+        self.words_in, self.size = regex.compile(cut).findall, size
+        self.ready = {word: self.entry(ids) for word, ids in ready.items()}
+        self.known = dict(self.ready)
+
+    def entry(self, ids: list[int]) -> tuple[str, int, bytes]:
+        return " ".join(map(str, ids)), len(ids), b"".join([self.pieces[i] for i in ids])
+
+    def encode(self, text: str) -> tuple[str, int, bytes]:
+        """The entry of a whole text."""
+        words = self.words_in(text)
+        rare = set(words).difference(self.known)
+        for word in rare:
+            self.known[word] = self.entry(queued(word.encode(), self.ranks))
+        entries = [self.known[word] for word in words]
+        for word in rare:
+            if len(word) > LONG:
+                del self.known[word]
+        if len(self.known) > self.size + len(self.ready):
+            self.known = dict(self.ready)
+        return " ".join([e[0] for e in entries]), sum([e[1] for e in entries]), b"".join([e[2] for e in entries])
+
+
 def encoded(docs: DataFrame, id_column: str = "doc_id", text: str = "text", ranks: str | None = None,
             cut: str | None = None, keep: bool = True, frequent: int = FREQUENT) -> DataFrame:
     """Encode whole texts by byte-level BPE and decode the ids again.
@@ -201,18 +201,35 @@ def encoded(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rank
     Special tokens in a text are ordinary text.  A null text counts as empty: no ids, no bytes.
     Repeated rows and null ids are kept; other columns are ignored; an empty table gives no rows.
     """
-    merges, cut = Merges(ranks or tokenizer_path(RANKS)), cut or pattern()
+    path = ranks or tokenizer_path(RANKS)
+    cut = cut or importlib.import_module("public_tokenizers").PATTERN
     plain = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    ready = Lookup(_ready(plain, merges, cut, frequent), "array<int>")
-    words = plain.select("id", words_in(F.col("text"), cut).alias("words"))
-    is_long = words.withColumn("long", F.filter("words", lambda w: F.octet_length(w) > LONG))
-    merged = is_long.select("id", "words", F.map_from_arrays(
-        F.array_distinct("long"), merges.long_words()(F.array_distinct("long"))).alias("long"))
-    ids = F.flatten(F.transform("words", lambda w: F.when(F.octet_length(w) > LONG, F.element_at("long", w)).otherwise(
-        F.coalesce(ready(w), merges.word_ids(w)))))
-    rows = merged.select("id", ids.alias("ids"))
-    rows = rows.select("id", "ids", merges.decoded(F.col("ids")).alias("decoded"))
-    return rows.select(
-        F.col("id").alias(id_column), F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), *(["ids", "decoded"] if keep else []))
+    ready = frequent_words(plain, path, cut, frequent)
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ranks_of(path), cut, ready))
+    kind = docs.schema[id_column].dataType.simpleString()
+    schema = "id " + kind + ", n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema += ", ids array<int>, decoded binary" if keep else ""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, *own = shared.value
+        if name not in _tables:
+            _tables.clear()
+            _tables[name] = WordTable(*own)
+        table = _tables[name]
+        for batch in slices(batches, "text"):
+            found = [table.encode(value or "") for value in batch["text"].to_pylist()]
+            columns = [batch["id"], pa.array([f[1] for f in found], pa.int64()),
+                       pa.array([hashlib.sha256(f[0].encode()).hexdigest() for f in found], pa.string()),
+                       pa.array([hashlib.sha256(f[2]).hexdigest() for f in found], pa.string())]
+            names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if keep:
+                columns += [pa.array([[int(i) for i in f[0].split()] for f in found], pa.list_(pa.int32())),
+                            pa.array([f[2] for f in found], pa.binary())]
+                names += ["ids", "decoded"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return plain.mapInArrow(run, schema).withColumnRenamed("id", id_column)
+
+
+#: The table of this Python worker, kept from task to task.
+_tables: dict[str, WordTable] = {}

@@ -179,14 +179,20 @@ class WordTable:
 
     def encode(self, text: str) -> tuple[str, int, bytes]:
         """The entry of a whole text."""
-        words = self.words_in(text)
-        rare = set(words).difference(self.known)
-        for word in rare:
-            self.known[word] = self.entry(queued(word.encode(), self.ranks))
-        entries = [self.known[word] for word in words]
-        for word in rare:
-            if len(word) > LONG:
-                del self.known[word]
+        words, known = self.words_in(text), self.known
+        entries = list(map(known.get, words))
+        if None in entries:
+            rare = set()
+            for place, entry in enumerate(entries):
+                if entry is None:
+                    word = words[place]
+                    if word not in known:
+                        rare.add(word)
+                        known[word] = self.entry(queued(word.encode(), self.ranks))
+                    entries[place] = known[word]
+            for word in rare:
+                if len(word) > LONG:
+                    del known[word]
         if len(self.known) > self.size + len(self.ready):
             self.known = dict(self.ready)
         return " ".join([e[0] for e in entries]), sum([e[1] for e in entries]), b"".join([e[2] for e in entries])

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import is_small
-from .stages import stored
+from .stages import free_names, stored
 
 CANDIDATE = "[A-Za-z0-9_+/=-]{16,}"
 CONTEXT = 60
@@ -206,15 +206,16 @@ def masked(docs: DataFrame, findings: DataFrame, id_column: str = "doc_id", thre
 
     ``findings`` come from :func:`scanned` on the same documents.  A text's candidates are found
     again by the id and compared as strings, so of several rows with one id each loses its own.
-    All columns and rows are kept.
+    All columns and rows are kept; rows without an id are not masked.
     """
-    chosen = findings.where(F.col("score") >= threshold).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_set("candidate").alias("_secrets"))
-    marked = docs.join(_side(chosen), F.col(id_column) == F.col("_id"), "left").select(
-        *docs.columns, "_secrets", F.when(F.col("_secrets").isNotNull(), F.split(text, CANDIDATE)).alias("_p"),
-        F.when(F.col("_secrets").isNotNull(), F.regexp_extract_all(text, F.lit(f"({CANDIDATE})"), F.lit(1)))
-        .alias("_c"))
-    parts = F.transform("_p", lambda p, i: F.concat(p, F.coalesce(F.when(
-        F.array_contains("_secrets", F.get("_c", i)), F.lit(mask)).otherwise(F.get("_c", i)), F.lit(""))))
-    clean = F.when(F.col("_secrets").isNull(), F.col(text)).otherwise(F.array_join(parts, ""))
+    name, secrets, between, candidates_ = free_names(docs, "id", "secrets", "between", "candidates")
+    chosen = findings.where(F.col("score") >= threshold).groupBy(F.col("doc_id").alias(name)).agg(
+        F.collect_set("candidate").alias(secrets))
+    some = F.col(secrets).isNotNull()
+    marked = docs.join(_side(chosen), F.col(id_column) == F.col(name), "left").select(
+        *docs.columns, secrets, F.when(some, F.split(text, CANDIDATE)).alias(between),
+        F.when(some, F.regexp_extract_all(text, F.lit(f"({CANDIDATE})"), F.lit(1))).alias(candidates_))
+    parts = F.transform(between, lambda p, i: F.concat(p, F.coalesce(F.when(
+        F.array_contains(secrets, F.get(candidates_, i)), F.lit(mask)).otherwise(F.get(candidates_, i)), F.lit(""))))
+    clean = F.when(~some, F.col(text)).otherwise(F.array_join(parts, ""))
     return marked.select(*[clean.alias(c) if c == text else F.col(c) for c in docs.columns])

@@ -22,6 +22,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def tokenizer_path(name: str) -> str:
     """Where the installed package of public tokenizers keeps a file."""
     return importlib.import_module("public_tokenizers").path(name)

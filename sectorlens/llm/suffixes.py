@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stages import stored
+from .stages import free_names, stored
 from .words import BLANKS, Words, mixed, runs, slices, words_of
 
 # Words of a passage at least, of a hashed run, and runs on each side that a suffix is sorted by.
@@ -214,17 +214,18 @@ def matches(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     Per match: the id, ``start`` (words before it) and ``length`` in words, and the place of an
     earlier copy, ``source_id`` and ``source_start``; places are ordered by id and position, and the
     earlier copy is a neighbour in the order of suffixes or of windows.  Words are compared with A-Z in lower case.
-    Rows with a null id or text, and texts of fewer words, give nothing; of repeated rows with one
-    id the text that sorts first counts; other columns are ignored.
+    Ids are integers.  Rows with a null id or text, and texts of fewer words, give nothing; of
+    several rows with one id the text that sorts first counts; other columns are ignored.
     """
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text")) \
                 .where("doc_id IS NOT NULL AND text IS NOT NULL")
+    texts = _first_texts(plain) if _repeats(plain) else plain
+    plain = stored(texts) if texts is not plain else plain
     pairs, firsts = _neighbours(stored(_suffixes(plain, least)))
-    texts = plain.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(plain) else plain
     none = F.lit(None).cast("int").alias("pos")
     needed = firsts.unionAll(pairs.select("doc_id", none)).unionAll(pairs.select("before_doc", none)) \
                    .groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
-    chosen = stored(texts.join(needed, "doc_id"))
+    chosen = stored(plain.join(needed, "doc_id"))
     again, _ = _neighbours(stored(_windows(chosen, least)))
     chosen = chosen.drop("places")
     # Windows that overlap on one diagonal are one match: the first of them stands for all.
@@ -261,6 +262,10 @@ def matches(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
         .withColumnRenamed("doc_id", id_column)
 
 
+def _first_texts(plain: DataFrame) -> DataFrame:
+    return plain.groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
 def _repeats(plain: DataFrame) -> bool:
     """Whether an id stands in several rows."""
     return bool(plain.groupBy("doc_id").count().where("count > 1").head(1))
@@ -269,29 +274,38 @@ def _repeats(plain: DataFrame) -> bool:
 def cut(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without the matched passages; their earliest copies stay.
 
-    A removed passage takes its words and the blanks before them.  All columns and rows are kept.
+    A removed passage takes its words and the blanks before them.  All columns and rows are kept;
+    of several texts with one id only the one that sorts first, whose passages they are, is cut.
     """
     columns = docs.columns
-    spans = found.groupBy(F.col(id_column).cast("long").alias("_id")).agg(
-        F.collect_set(F.struct("start", "length")).alias("_spans"))
-    paired = docs.join(spans, F.col(id_column).cast("long") == F.col("_id"), "left").select(*columns, "_spans")
+    name, spans, first = free_names(docs, "id", "spans", "first")
+    ids = F.col(id_column).cast("long")
+    cuts = found.groupBy(F.col(id_column).cast("long").alias(name)).agg(
+        F.collect_set(F.struct("start", "length")).alias(spans))
+    plain = docs.select(ids.alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    if _repeats(plain):
+        owners = _first_texts(plain).select(F.col("doc_id").alias(name), F.col("text").alias(first))
+        paired = docs.join(cuts.join(owners, name), (ids == F.col(name)) & (F.col(text) == F.col(first)), "left")
+    else:
+        paired = docs.join(cuts, ids == F.col(name), "left")
+    paired = paired.select(*columns, spans)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            spans = batch["_spans"].to_pylist()
-            if not any(spans):
+            cuts_of = batch[spans].to_pylist()
+            if not any(cuts_of):
                 yield batch.select(columns)
                 continue
             words = words_of(batch[text], BLANKS)
             begin = words.first()
             values = []
             for row, value in enumerate(batch[text].to_pylist()):
-                if not spans[row] or value is None:
+                if not cuts_of[row] or value is None:
                     values.append(value)
                     continue
                 data, origin, done, parts = value.encode(), int(words.offsets[row]), 0, []
-                for span in sorted((s["start"], s["start"] + s["length"]) for s in spans[row]):
+                for span in sorted((s["start"], s["start"] + s["length"]) for s in cuts_of[row]):
                     first, last = begin[row] + span[0], begin[row] + span[1] - 1
                     start = int(words.end[first - 1]) - origin if span[0] else 0
                     parts.append(data[done:max(done, start)])

@@ -113,7 +113,12 @@ def runs(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``size`` consecutive words of one text, and the index of their first word."""
     at = np.arange(max(0, len(words.row) - size + 1))
     at = at[words.row[at] == words.row[at + size - 1]] if len(at) else at
+    return whole_runs(words, at, size), at
+
+
+def whole_runs(words: Words, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` words that begin at the given words."""
     total = np.zeros(len(at), np.uint64)
     for step in range(size):
         total = mixed(total * _MIX1 + words.hash[at + step])
-    return total, at
+    return total

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sectorlens.llm import jaccard, packing, secrets, suffixes, toxicity
 from sectorlens.llm.queries import finding_form, finding_label
-from sectorlens.llm.stages import stored
+from sectorlens.llm.stages import free_names, stored
 from sectorlens.operators.joins import is_small
 
 TOXIC = 0.7
@@ -24,6 +24,21 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else docs
 
 
+def _identified(docs: DataFrame) -> tuple[DataFrame, str | None]:
+    """Rows without an id get ids beyond all others, marked by a column; most tables have none."""
+    if not docs.where("doc_id IS NULL").head(1):
+        return docs, None
+    mark, = free_names(docs, "nameless")
+    most = docs.agg(F.coalesce(F.greatest(F.max("doc_id"), F.lit(0)), F.lit(0))).first()[0]
+    named = F.coalesce("doc_id", F.lit(most + 1) + F.monotonically_increasing_id())
+    return stored(docs.withColumn(mark, F.col("doc_id").isNull()).withColumn("doc_id", named)), mark
+
+
+def _anonymous(docs: DataFrame, mark: str | None) -> DataFrame:
+    """The ids as they were before :func:`_identified`."""
+    return docs if mark is None else docs.withColumn("doc_id", F.when(~F.col(mark), F.col("doc_id"))).drop(mark)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxic score stay."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -37,31 +52,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id stays of each group, at five words and a similarity of 0.8.
 
-    Documents without words, and those without an id that equal no other, stay.
+    Documents without words stay.  Those without an id come after all others and are told apart;
+    equal rows with one id count once.
     """
+    docs, mark = _identified(docs)
     groups = jaccard.joined(docs, size=5, percent=80)
     losers = stored(groups.where("doc_id <> component_id").select("doc_id").distinct())
-    # Repeated rows, and equal texts without an id, count once.
-    if docs.where("doc_id IS NULL").head(1):
-        docs = docs.where("doc_id IS NOT NULL").unionAll(
-            docs.where("doc_id IS NULL").dropDuplicates(["text"]))
-    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").head(1):
-        docs = docs.where("doc_id IS NULL").unionAll(
-            docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
+    if docs.groupBy("doc_id").count().where("count > 1").head(1):
+        docs = docs.dropDuplicates(["doc_id", "text"])
     losers = F.broadcast(losers) if is_small(losers, BROADCAST_IDS) else losers
-    return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
+    return _anonymous(docs.join(losers, "doc_id", "left_anti").select(*docs.columns), mark)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more stay in the first document that has them."""
+    docs, mark = _identified(docs)
     found = stored(suffixes.matches(docs))
-    return _counted(suffixes.cut(docs, found))
+    return _counted(_anonymous(suffixes.cut(docs, found), mark))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts; all documents stay."""
+    docs, mark = _identified(docs)
     found = secrets.scanned(docs, finding_label(), known=finding_form())
-    return _counted(secrets.masked(docs, found))
+    return _counted(_anonymous(secrets.masked(docs, found), mark))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

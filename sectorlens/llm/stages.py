@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
@@ -22,6 +22,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Let Arrow batches of this session hold at most so many rows.
+
+    Batches are counted in rows, and rows of whole texts are large on both sides of the transfer.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """Column names like the given ones that the table does not have."""
     taken = {c.lower() for c in df.columns}

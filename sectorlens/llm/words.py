@@ -7,6 +7,7 @@ by ``LIMIT`` bytes of text, or by one text where that is longer.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -15,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 LIMIT = 1_000_000
+# The C library of this process; not all have malloc_trim.
+_LIBC = ctypes.CDLL(None)
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 # Separators where only digits, letters and bytes beyond ASCII make words.
 NOT_LETTERS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -33,7 +36,10 @@ def mixed(values: np.ndarray, salt: int = 0) -> np.ndarray:
 
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
            limit: int = LIMIT) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``limit`` bytes of text, one row at least."""
+    """The same rows in batches of at most ``limit`` bytes of text, one row at least.
+
+    After the last one freed memory goes back to the system: workers live on from stage to stage.
+    """
     for batch in batches:
         sizes = np.cumsum(np.asarray(pc.fill_null(
             pc.binary_length(batch[text]), 0), dtype=np.int64))
@@ -43,6 +49,10 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
             end = max(begin + 1, int(np.searchsorted(sizes, done + limit, "right")))
             yield batch.slice(begin, end - begin)
             begin = end
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 @dataclass

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import prompts
 from ..functions import text as tx
 from ..functions import wordlists
-from ..session import checkpointed
+from ..session import checkpointed, stored
+from . import impact_index
 from .joins import is_small, lookup_join, spread_join
 from .ordering import first_values, joined
 
@@ -54,7 +55,10 @@ def fit_terms(docs: DataFrame, key: str, text: str = "text",
 
     Combined map-side, so a term found in every document is no burden.
     """
-    frequencies = term_frequencies(docs, key, text, stop_words)
+    return _vocabulary(term_frequencies(docs, key, text, stop_words), docs)
+
+
+def _vocabulary(frequencies: DataFrame, docs: DataFrame) -> DataFrame:
     size = docs.agg(F.count(F.lit(1)).alias("n"))
     counted = frequencies.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return counted.withColumn("idf", F.log((F.lit(1) + size.scalar()) / (F.lit(1) + F.col("df"))) + 1)
@@ -68,7 +72,10 @@ def weigh(docs: DataFrame, terms: DataFrame, key: str, text: str = "text",
     so the join spreads them without counting again.  A document's terms meet
     once more for its length; that group is bounded by the document itself.
     """
-    frequencies = term_frequencies(docs, key, text, stop_words)
+    return _weighed(term_frequencies(docs, key, text, stop_words), terms, key)
+
+
+def _weighed(frequencies: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     hot = terms.select("term", F.col("df").alias("key_rows"))
     return _scaled(lookup_join(frequencies, terms.select("term", "idf"), ["term"], "inner",
                                [key], hot), key)
@@ -84,10 +91,12 @@ def build_index(docs: DataFrame, key: str, text: str = "text",
                 stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> tuple[DataFrame, DataFrame]:
     """(terms, postings) of a corpus.  Write both with ``sources.writers.save_index``.
 
-    The vocabulary is read by every later step, so it is written down at once.
+    The term counts are written down once, so that no text is cut into terms twice, and so is the
+    vocabulary, which every later step reads.
     """
-    terms = checkpointed(fit_terms(docs, key, text, stop_words))
-    return terms, weigh(docs, terms, key, text, stop_words)
+    frequencies = stored(term_frequencies(docs, key, text, stop_words))
+    terms = checkpointed(_vocabulary(frequencies, docs))
+    return terms, _weighed(frequencies, terms, key)
 
 
 def count_terms(questions: DataFrame, query: str = "query",
@@ -97,6 +106,18 @@ def count_terms(questions: DataFrame, query: str = "query",
     return counted.first()["n"] or 0
 
 
+def weigh_questions(questions: DataFrame, terms: DataFrame, query_key: str, query: str = "query",
+                    small: bool = False, stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> DataFrame:
+    """(question, term, asked): the questions' known terms weighed like those of documents.
+
+    ``small`` sends the questions' terms to the vocabulary instead of shuffling both.
+    """
+    frequencies = term_frequencies(questions, query_key, query, stop_words)
+    wanted = F.broadcast(frequencies) if small else frequencies
+    return _scaled(wanted.join(terms.select("term", "idf"), "term"), query_key).select(
+        query_key, "term", F.col("weight").alias("asked"))
+
+
 def score(questions: DataFrame, terms: DataFrame, postings: DataFrame, query_key: str,
           key: str, query: str = "query", decimals: int = 6,
           stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> DataFrame:
@@ -109,11 +130,7 @@ def score(questions: DataFrame, terms: DataFrame, postings: DataFrame, query_key
     tasks by document.
     """
     small = count_terms(questions, query, stop_words) <= BROADCAST_TERMS
-    frequencies = term_frequencies(questions, query_key, query, stop_words)
-    known = terms.select("term", "idf")
-    wanted = F.broadcast(frequencies) if small else frequencies
-    asked = _scaled(wanted.join(known, "term"), query_key).select(
-        query_key, "term", F.col("weight").alias("asked"))
+    asked = weigh_questions(questions, terms, query_key, query, small, stop_words)
     listed = postings.select(key, "term", "weight")
     if small:
         met = listed.join(F.broadcast(asked), "term")
@@ -158,11 +175,18 @@ def pad_with_zeros(top: DataFrame, questions: DataFrame, docs: DataFrame, query_
 def retrieve(questions: DataFrame, docs: DataFrame, query_key: str, key: str, n: int = 10,
              query: str = "query", text: str = "text", pad_zero: bool = False,
              index: tuple[DataFrame, DataFrame] | None = None,
-             stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> DataFrame:
-    """Best n documents for every question: query key, document key, score, rank."""
+             stop_words: Sequence[str] = wordlists.STOP_WORDS_EN,
+             impacts: impact_index.ImpactIndex | None = None) -> DataFrame:
+    """Best n documents for every question: query key, document key, score, rank.
+
+    Blocks of documents that cannot reach a question's n-th score are not scored, see
+    :mod:`.impact_index`.  ``impacts`` is the postings' index in blocks; without it one is built.
+    """
     terms, postings = index or build_index(docs, key, text, stop_words)
-    scores = score(questions, terms, postings, query_key, key, query, stop_words=stop_words)
-    top = top_documents(scores, query_key, key, n)
+    impacts = impacts or impact_index.build(postings if index else stored(postings), key)
+    small = count_terms(questions, query, stop_words) <= BROADCAST_TERMS
+    asked = weigh_questions(questions, terms, query_key, query, small, stop_words)
+    top = impact_index.search(asked, impacts, query_key, n)
     return pad_with_zeros(top, questions, docs, query_key, key, n) if pad_zero else top
 
 

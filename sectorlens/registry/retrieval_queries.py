@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import retrieval, vectors
+from ..session import ensure_checkpoint_dir
 from ..sources.readers import spread
+from ..sources.term_index import TermIndex
 from . import sql
 from .roles import table
 
@@ -52,6 +56,22 @@ def rag_prompts(spark, folder):
         F.md5("prompt").alias("prompt_md5"))
 
 
+def index_in_parts(spark, folder):
+    """Postings of the questions' terms from an index that was added to, deleted from and compacted."""
+    ensure_checkpoint_dir(spark)
+    docs = corpus(spark, folder)
+    index = TermIndex.create(spark, f"{spark.sparkContext.getCheckpointDir()}/index-{uuid.uuid4().hex}")
+    index.add(docs.where("doc_id % 2 = 0"))
+    index.add(docs.where("doc_id % 2 = 1"))
+    again = docs.where("doc_id % 10 = 3")
+    index.delete(again)
+    index.compact()
+    index.add(again)
+    index.refresh()
+    terms = retrieval.term_frequencies(questions(spark, folder), "query_id", "query").select("term")
+    return index.postings(terms).withColumn("weight", F.round("weight", 6))
+
+
 def _centres(spark, folder):
     """Mean vector per label, the question vectors."""
     parts = table(spark, folder, "embeddings").select(
@@ -76,6 +96,9 @@ ORACLES = {
     "tfidf_terms": f"WITH {sql.tfidf()} SELECT term, df, round(idf, 6) AS idf FROM terms",
     "tfidf_weights": f"""WITH {sql.tfidf()}
         SELECT id AS doc_id, term, tf, round(weight, 6) AS weight FROM postings""",
+    "index_in_parts": f"""WITH {sql.tfidf()}, {sql.tfidf_scores()}
+        SELECT id AS doc_id, term, tf, round(weight, 6) AS weight FROM postings
+        WHERE term IN (SELECT term FROM qtf)""",
     "tfidf_topk": f"""WITH {sql.tfidf()}, {sql.tfidf_scores()}
         SELECT query_id, id AS doc_id, score, rank FROM top""",
     "tfidf_topk_padded": f"""WITH {sql.tfidf()}, {sql.tfidf_scores()},
@@ -108,5 +131,5 @@ ORACLES = {
 }
 
 QUERIES = {f.__name__: f for f in (
-    tfidf_terms, tfidf_weights, tfidf_topk, tfidf_topk_padded, rag_prompts, vector_topk,
+    tfidf_terms, tfidf_weights, index_in_parts, tfidf_topk, tfidf_topk_padded, rag_prompts, vector_topk,
     adjacent_similarity)}

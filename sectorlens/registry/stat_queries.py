@@ -118,7 +118,7 @@ def seasonal_forecast(spark, folder):
 
 def seasonal_model_forecast(spark, folder):
     months = series.monthly_series(order_facts(spark, folder), SERIES, START, END)
-    return series.seasonal_models(months, SERIES)
+    return _rounded(series.seasonal_regression(months, SERIES), "value")
 
 
 def actuals_plus_forecast(spark, folder):
@@ -195,7 +195,56 @@ def _drift(months: str) -> str:
           AND m.d = CAST(h.ref_date - to_months(12) AS DATE))"""
 
 
+def _regression(months: str) -> str:
+    """Each subset of inputs solved by sweeping one input after the other out of the covariances."""
+    two = "({0}{0} * {1}{1} - {0}{1} * {0}{1})"
+    return f"""(WITH s AS (SELECT geo, label, year(ref_date) * 12 + month(ref_date) AS m,
+            CAST(value AS DOUBLE) AS y FROM {months} q),
+        l AS (SELECT s.*, a.y AS a, b.y AS b, CAST(s.m - min(s.m) OVER w AS DOUBLE) AS t,
+            max(s.m) OVER w AS last, count(*) OVER w AS months, avg(s.y) OVER w AS overall
+          FROM s LEFT JOIN s a ON a.geo = s.geo AND a.label = s.label AND a.m = s.m - 1
+          LEFT JOIN s b ON b.geo = s.geo AND b.label = s.label AND b.m = s.m - 12
+          WINDOW w AS (PARTITION BY s.geo, s.label)),
+        g AS (SELECT geo, label, regr_slope(y, m) AS slope, max(t) AS newest, any_value(last) AS last,
+            any_value(overall) AS overall, max_by(y, m) AS y_last FROM l WHERE months >= 24 GROUP BY geo, label),
+        c AS (SELECT geo, label, count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, avg(t) AS mt,
+            var_pop(y) AS yy, var_pop(a) AS aa, var_pop(b) AS bb, var_pop(t) AS tt, covar_pop(a, b) AS ab,
+            covar_pop(a, t) AS a_t, covar_pop(b, t) AS bt, covar_pop(a, y) AS ay, covar_pop(b, y) AS b_y,
+            covar_pop(t, y) AS ty FROM l WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY geo, label),
+        w AS (SELECT *, aa - a_t * a_t / tt AS aa2, bb - bt * bt / tt AS bb2, ab - a_t * bt / tt AS ab2,
+            ay - ty * a_t / tt AS ay2, b_y - ty * bt / tt AS by2 FROM c),
+        v AS (SELECT *, (ay2 * bb2 - by2 * ab2) / nullif(aa2 * bb2 - ab2 * ab2, 0) AS a3,
+            (by2 * aa2 - ay2 * ab2) / nullif(aa2 * bb2 - ab2 * ab2, 0) AS b3 FROM w),
+        f AS (
+          SELECT *, 0 AS place, 'mean' AS model, 2 AS k, 0.0 AS ca, 0.0 AS cb, 0.0 AS ct FROM v
+          UNION ALL SELECT *, 1, 'lag', 3, ay / aa, 0, 0 FROM v
+          UNION ALL SELECT *, 2, 'season', 3, 0, b_y / bb, 0 FROM v
+          UNION ALL SELECT *, 3, 'trend', 3, 0, 0, ty / tt FROM v
+          UNION ALL SELECT *, 4, 'lag+season', 4, (ay * bb - b_y * ab) / {two.format('a', 'b')},
+            (b_y * aa - ay * ab) / {two.format('a', 'b')}, 0 FROM v
+          UNION ALL SELECT *, 5, 'lag+trend', 4, ay2 / aa2, 0, (ty - ay2 / aa2 * a_t) / tt FROM v
+          UNION ALL SELECT *, 6, 'season+trend', 4, 0, by2 / bb2, (ty - by2 / bb2 * bt) / tt FROM v
+          UNION ALL SELECT *, 7, 'lag+season+trend', 5, a3, b3, (ty - a3 * a_t - b3 * bt) / tt FROM v),
+        o AS (SELECT *, round(ln(greatest(yy - ca * ay - cb * b_y - ct * ty, 1e-12))
+            + 2 * k / CAST(greatest(n - k - 1, 1) AS DOUBLE), 9) AS criterion FROM f WHERE n > k),
+        best AS (SELECT * FROM o WHERE criterion IS NOT NULL QUALIFY row_number() OVER (
+            PARTITION BY geo, label ORDER BY criterion, place) = 1),
+        p AS (SELECT g.*, model, my - ca * ma - cb * mb - ct * mt AS c0, ca, cb, ct, x.y AS ago1, z.y AS ago2
+          FROM g LEFT JOIN best USING (geo, label)
+          LEFT JOIN s x ON x.geo = g.geo AND x.label = g.label AND x.m = g.last - 11
+          LEFT JOIN s z ON z.geo = g.geo AND z.label = g.label AND z.m = g.last - 10),
+        f1 AS (SELECT *, c0 + ca * y_last + CASE WHEN cb = 0 THEN 0 ELSE cb * ago1 END + ct * (newest + 1) AS v1 FROM p),
+        f2 AS (SELECT *, c0 + ca * v1 + CASE WHEN cb = 0 THEN 0 ELSE cb * ago2 END + ct * (newest + 2) AS v2 FROM f1),
+        e AS (SELECT *, CASE WHEN model IS NULL THEN 'no inputs can be fitted'
+            WHEN v1 IS NULL OR v2 IS NULL THEN 'a month that the model needs is missing' END AS error FROM f2)
+        SELECT geo, label, make_date(CAST((last + step - 1) // 12 AS INTEGER), CAST((last + step - 1) % 12 + 1 AS INTEGER), 1)
+            AS ref_date, round(CASE WHEN error IS NOT NULL THEN coalesce(if(step = 1, ago1, ago2) + slope * 12, overall)
+            WHEN step = 1 THEN v1 ELSE v2 END, 4) AS value,
+          CASE WHEN error IS NULL THEN model ELSE 'drift' END AS model, error FROM e, range(1, 3) r(step))"""
+
+
 ORACLES = {
+    "seasonal_model_forecast": f"SELECT * FROM {_regression(_months('geo, label'))} f",
     "unit_filter": f"""SELECT seq, ref_date, geo, label, value FROM {sql.STATISTICS} s
         WHERE uom = 'Cubic metres'""",
     "energy_io": f"SELECT * FROM {_balance(sql.STATISTICS, 'Gas', [Share(s.direction, s.factor, s.labels) for s in GAS])} b",

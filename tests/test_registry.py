@@ -36,7 +36,7 @@ def test_query(spark, db, name):
 
 
 def test_only_iterative_queries_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == {"semantic_segments", "seasonal_model_forecast"}
+    assert set(QUERIES) - set(ORACLES) == {"semantic_segments"}
 
 
 def test_scans_read_only_what_they_need(spark):

@@ -58,6 +58,53 @@ def test_seasonal_models(spark):
     assert [r.geo for r in series.failed_series(out, ["geo", "label"]).collect()] == ["c"]
 
 
+def fitted_by_hand(values):
+    """The best subset of month before, month a year ago and time by least squares; two months ahead."""
+    y, best = np.array(values), None
+    rows = np.arange(12, len(y))
+    inputs = {"lag": y[rows - 1], "season": y[rows - 12], "trend": rows * 1.0}
+    for size in range(4):
+        for chosen in [c for c in ((), ("lag",), ("season",), ("trend",), ("lag", "season"), ("lag", "trend"),
+                                   ("season", "trend"), ("lag", "season", "trend")) if len(c) == size]:
+            design = np.column_stack([np.ones(len(rows)), *[inputs[c] for c in chosen]])
+            beta, *_ = np.linalg.lstsq(design, y[rows], rcond=None)
+            spread = max(((y[rows] - design @ beta) ** 2).mean(), 1e-12)
+            k = size + 2
+            criterion = np.log(spread) + 2 * k / max(len(rows) - k - 1, 1)
+            if best is None or criterion < best[0] - 1e-9:
+                best = criterion, chosen, beta
+    _, chosen, beta = best
+    path = list(values)
+    for _ in range(2):
+        now = {"lag": path[-1], "season": path[-12], "trend": float(len(path))}
+        path.append(float(beta @ np.array([1.0, *[now[c] for c in chosen]])))
+    return "+".join(chosen) or "mean", path[-2:]
+
+
+def test_seasonal_regression_equals_least_squares(spark):
+    rng = np.random.default_rng(5)
+    made = {"wave": [50 + 10 * math.sin(i * math.pi / 6) + 0.3 * i + rng.normal() for i in range(70)],
+            "walk": np.cumsum(rng.normal(size=60)).tolist(), "noise": rng.normal(100, 5, size=48).tolist(),
+            "line": [3.0 * i + rng.normal() for i in range(40)]}
+    keys = ["geo", "label"]
+    rows = [(g, "x", month(i), v) for g, values in made.items() for i, v in enumerate(values)]
+    rows += [("flat", "x", month(i), 7.0) for i in range(30)] + [("short", "x", month(i), 1.0) for i in range(23)]
+    rows += [("gap", "x", month(2 * i), 1.0 * i) for i in range(30)]
+    rows += [("odd", "x", month(i), float("nan") if i == 3 else 1.0 * i) for i in range(40)]
+    out = series.seasonal_regression(series.monthly_series(facts(spark, rows), keys), keys)
+    got = {}
+    for r in out.orderBy("ref_date").collect():
+        got.setdefault(r.geo, []).append(r)
+    assert set(got) == {*made, "flat", "gap", "odd"} and all(len(x) == 2 for x in got.values())
+    for name, values in made.items():
+        model, ahead = fitted_by_hand(values)
+        assert [r.model for r in got[name]] == [model] * 2 and got[name][0].ref_date == month(len(values))
+        assert np.allclose([r.value for r in got[name]], ahead, rtol=1e-6)
+    assert [(r.value, r.model, r.error) for r in got["flat"]] == [(7.0, "mean", None)] * 2
+    assert {r.model for r in got["gap"] + got["odd"]} == {"drift"}
+    assert {r.geo for r in series.failed_series(out, keys).collect()} == {"gap", "odd"}
+
+
 @pytest.mark.parametrize("d,sd", [(0, 0), (1, 0), (0, 1), (1, 1)])
 def test_integration_undoes_differences(d, sd):
     values = np.random.default_rng(d + 2 * sd).normal(size=40).cumsum()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import importlib
 import uuid
 
@@ -33,6 +34,15 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(name, str(rows))
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the driver look for what nothing refers to: shuffle files of finished jobs go with it.
+
+    Spark removes them when the driver's JVM collects garbage, which a long job of small plans hardly causes.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """Column names like the given ones that the table does not have."""
     taken = {c.lower() for c in df.columns}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sectorlens.llm import jaccard, packing, secrets, suffixes, toxicity
 from sectorlens.llm.queries import finding_form, finding_label
-from sectorlens.llm.stages import free_names, small_batches, stored
+from sectorlens.llm.stages import free_names, let_go, small_batches, stored
 from sectorlens.operators.joins import is_small
 
 TOXIC = 0.7
@@ -42,6 +42,7 @@ def _anonymous(docs: DataFrame, mark: str | None) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxic score stay."""
     small_batches(spark)
+    let_go(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     carried = tuple(c for c in docs.columns if c != "doc_id")
     scores = toxicity.scored(docs.withColumnRenamed("score", "_score"), model, spans=False,
@@ -57,6 +58,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     equal rows with one id count once.
     """
     small_batches(spark)
+    let_go(spark)
     docs, mark = _identified(docs)
     groups = jaccard.joined(docs, size=5, percent=80)
     losers = stored(groups.where("doc_id <> component_id").select("doc_id").distinct())
@@ -69,6 +71,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more stay in the first document that has them."""
     small_batches(spark)
+    let_go(spark)
     docs, mark = _identified(docs)
     found = stored(suffixes.matches(docs))
     return _counted(_anonymous(suffixes.cut(docs, found), mark))
@@ -77,6 +80,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts; all documents stay."""
     small_batches(spark)
+    let_go(spark)
     docs, mark = _identified(docs)
     found = secrets.scanned(docs, finding_label(), known=finding_form())
     return _counted(_anonymous(secrets.masked(docs, found), mark))
@@ -85,6 +89,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of whole sequences with their ids, one document each."""
     small_batches(spark)
+    let_go(spark)
     return packing.packed(docs)
 
 

@@ -34,7 +34,7 @@ from .words import slices
 
 RANKS = "byte_bpe_50k.tiktoken"
 # Words that are merged once for all tasks, rarer ones that a worker keeps, maps that ranks are dealt to.
-FREQUENT, TABLE, MAPS = 1 << 18, 300_000, 1 << 16
+FREQUENT, TABLE, MAPS = 1 << 17, 300_000, 1 << 16
 # Bytes beyond which a word counts as rare: folding takes time with the square of the length.
 LONG = 160
 _NONE = 2 ** 31 - 1
@@ -157,7 +157,8 @@ def frequent_words(docs: DataFrame, ranks: str, cut: str, most: int) -> dict[str
     if lowest is None:
         return {}
     chosen = counted.where(F.col("level") >= lowest).select("word", merges.word_ids(F.col("word")).alias("ids"))
-    return {row["word"]: row["ids"] for row in chosen.toArrow().to_pylist()}
+    found = chosen.toArrow()
+    return dict(zip(found["word"].to_pylist(), found["ids"].to_pylist()))
 
 
 class WordTable:

@@ -84,19 +84,19 @@ def listed(urls: DataFrame, id_columns: Sequence[str], key: str, listing: DataFr
            broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
     """The rows of ``urls`` whose ``key`` is in ``listing`` (a column of the same name).
 
-    A filter of at most ``broadcast_blocks`` blocks is sent to every task, so only possible hits
-    are shuffled for the exact join; a larger one would outgrow a task, and the exact join is
-    made at once.  Null keys are never listed; a key that the list repeats counts once.
+    Every key meets its block of the filter, so only possible hits reach the exact join.  A filter
+    of at most ``broadcast_blocks`` blocks is sent to every task; a larger one would outgrow a task,
+    and keys and blocks are shuffled by the block's number.  Null keys are never listed; a key that
+    the list repeats counts once.
     """
     keys = stored(listing.select(key).where(F.col(key).isNotNull()).distinct())
     possible = urls.select(*id_columns, key).where(F.col(key).isNotNull())
     filter_rows, blocks = bloom_blocks(keys, key)
-    if blocks <= broadcast_blocks:
-        masks = _masks(F.col(key))
-        all_set = reduce(lambda a, b: a & b, [
-            F.col(f"w{i}").bitwiseAND(m) == m for i, m in enumerate(masks)])
-        possible = possible.withColumn("block", _place(F.col(key), blocks)).join(
-            F.broadcast(filter_rows), "block").where(all_set).select(*id_columns, key)
+    all_set = reduce(lambda a, b: a & b, [
+        F.col(f"w{i}").bitwiseAND(m) == m for i, m in enumerate(_masks(F.col(key)))])
+    side = F.broadcast(filter_rows) if blocks <= broadcast_blocks else filter_rows
+    possible = possible.withColumn("block", _place(F.col(key), blocks)).join(
+        side, "block").where(all_set).select(*id_columns, key)
     return possible.join(keys, key, "left_semi")
 
 

@@ -123,10 +123,10 @@ def packed(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, last = table_of(path), end.to_bytes(4, "little")
         for batch in slices(batches, text):
-            rows, starts, lengths, sums, totals, ids = [], [], [], [], [], []
+            rows, starts, lengths, sums, totals = [], [], [], [], []
             texts = [value or "" for value in batch[text].to_pylist()]
-            for row, found in enumerate(table.encode(texts)):
-                found += last
+            encoded = [found + last for found in table.encode(texts)]
+            for row, found in enumerate(encoded):
                 total, start = len(found) // 4, 0
                 for length in binary_lengths(total, longest):
                     piece = found[4 * start:4 * (start + length)]
@@ -135,14 +135,15 @@ def packed(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                     lengths.append(length)
                     sums.append(zlib.crc32(piece))
                     totals.append(total)
-                    if keep:
-                        ids.append(memoryview(piece).cast("i").tolist())
                     start += length
             columns = [batch[id_column].take(pa.array(rows, pa.int64())),
                        *[pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals)]]
             names = [id_column, "start", "length", "ids_crc32", "doc_tokens"]
             if keep:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
+                # Pieces follow each other as in the texts.
+                ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+                ids = np.frombuffer(b"".join(encoded), "<i4")
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stages import free_names, stored
+from .stages import free_names, scratch, stored
 from .words import BLANKS, Words, mixed, runs, slices, words_of
 
 # Words of a passage at least, of a hashed run, and runs on each side that a suffix is sorted by.
@@ -132,7 +132,6 @@ def _neighbours(suffixes: DataFrame) -> tuple[DataFrame, DataFrame]:
     (doc_id, pos) of the first suffix of each whole where a key has several."""
     parts = int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["key", "whole", "doc_id", "pos"]
-    ordered = suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def rows(edge: int | None, now: list, before: list | None = None) -> pa.RecordBatch:
         count = len(now[0])
@@ -168,8 +167,11 @@ def _neighbours(suffixes: DataFrame) -> tuple[DataFrame, DataFrame]:
         if last is not None:
             yield rows(2 * part + 1, last, head[2:])
 
-    found = stored(ordered.mapInArrow(run, "edge long, key long, whole long, doc_id long, pos int, "
-                                           "before_doc long, before_pos int"))
+    with scratch(suffixes.sparkSession) as keep:
+        # Stored, because a range sort reads its rows twice.
+        ordered = stored(suffixes).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        found = keep(ordered.mapInArrow(run, "edge long, key long, whole long, doc_id long, pos int, "
+                                             "before_doc long, before_pos int"))
     # Two rows per task: the last one of a task and the first of the next are neighbours too.
     lag = {c: F.lag(c).over(Window.orderBy("edge")) for c in [*order, "before_doc", "before_pos"]}
     edges = found.where("edge IS NOT NULL").select(
@@ -221,18 +223,20 @@ def matches(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                 .where("doc_id IS NOT NULL AND text IS NOT NULL")
     texts = _first_texts(plain) if _repeats(plain) else plain
     plain = stored(texts) if texts is not plain else plain
-    pairs, firsts = _neighbours(stored(_suffixes(plain, least)))
-    none = F.lit(None).cast("int").alias("pos")
-    needed = firsts.unionAll(pairs.select("doc_id", none)).unionAll(pairs.select("before_doc", none)) \
-                   .groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
-    chosen = stored(plain.join(needed, "doc_id"))
-    again, _ = _neighbours(stored(_windows(chosen, least)))
-    chosen = chosen.drop("places")
-    # Windows that overlap on one diagonal are one match: the first of them stands for all.
-    again = again.groupBy("doc_id", "before_doc", F.expr("pos - before_pos"), F.floor(F.col("pos") / least)).agg(
-        F.min("pos").alias("pos"), F.min("before_pos").alias("before_pos"))
-    grouped = stored(pairs.unionByName(again.select(*pairs.columns)).groupBy("doc_id", "before_doc").agg(
-        F.collect_set(F.struct("pos", "before_pos")).alias("places")))
+    with scratch(docs.sparkSession) as keep:
+        pairs, firsts = _neighbours(_suffixes(plain, least))
+        none = F.lit(None).cast("int").alias("pos")
+        needed = firsts.unionAll(pairs.select("doc_id", none)).unionAll(pairs.select("before_doc", none)) \
+                       .groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
+        placed = stored(plain.join(needed, "doc_id"))
+        again, _ = _neighbours(_windows(placed, least))
+        # Windows that overlap on one diagonal are one match: the first of them stands for all.
+        again = again.groupBy("doc_id", "before_doc", F.expr("pos - before_pos"), F.floor(F.col("pos") / least)).agg(
+            F.min("pos").alias("pos"), F.min("before_pos").alias("before_pos"))
+        grouped = keep(pairs.unionByName(again.select(*pairs.columns)).groupBy("doc_id", "before_doc").agg(
+            F.collect_set(F.struct("pos", "before_pos")).alias("places")))
+        matched = grouped.select("doc_id").unionAll(grouped.select("before_doc")).distinct()
+        chosen = keep(placed.drop("places").join(matched, "doc_id", "left_semi"))
     both = grouped.join(chosen.withColumnRenamed("text", "x"), "doc_id") \
                   .join(chosen.withColumnsRenamed({"doc_id": "before_doc", "text": "y"}), "before_doc")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sectorlens.llm import jaccard, packing, secrets, suffixes, toxicity
 from sectorlens.llm.queries import finding_form, finding_label
-from sectorlens.llm.stages import free_names, let_go, small_batches, stored
+from sectorlens.llm.stages import free_names, let_go, scratch, small_batches, stored
 from sectorlens.operators.joins import is_small
 
 TOXIC = 0.7
@@ -60,8 +60,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     small_batches(spark)
     let_go(spark)
     docs, mark = _identified(docs)
-    groups = jaccard.joined(docs, size=5, percent=80)
-    losers = stored(groups.where("doc_id <> component_id").select("doc_id").distinct())
+    with scratch(spark) as keep:
+        groups = jaccard.joined(docs, size=5, percent=80)
+        losers = keep(groups.where("doc_id <> component_id").select("doc_id").distinct())
     if docs.groupBy("doc_id").count().where("count > 1").head(1):
         docs = docs.dropDuplicates(["doc_id", "text"])
     losers = F.broadcast(losers) if is_small(losers, BROADCAST_IDS) else losers
@@ -73,7 +74,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     let_go(spark)
     docs, mark = _identified(docs)
-    found = stored(suffixes.matches(docs))
+    with scratch(spark) as keep:
+        found = keep(suffixes.matches(docs))
     return _counted(_anonymous(suffixes.cut(docs, found), mark))
 
 
@@ -82,7 +84,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     small_batches(spark)
     let_go(spark)
     docs, mark = _identified(docs)
-    found = secrets.scanned(docs, finding_label(), known=finding_form())
+    with scratch(spark) as keep:
+        found = keep(secrets.scanned(docs, finding_label(), known=finding_form()))
     return _counted(_anonymous(secrets.masked(docs, found), mark))
 
 

@@ -152,20 +152,18 @@ def _with_odds(df: DataFrame, sides: list[tuple[str, str, DataFrame]]) -> DataFr
 
 
 def scanned(docs: DataFrame, label: Column, id_column: str = "doc_id", path: str = "source",
-            text: str = "text", labelled: int = LABELLED, known: Column | None = None) -> DataFrame:
+            text: str = "text", labelled: int = LABELLED) -> DataFrame:
     """Score every candidate of whole texts.
 
     ``label`` is evaluated on the rows of :func:`candidates`: 1 or 0 for a labelled finding, null
-    for all others.  About ``labelled`` of them at most, chosen by hash in each class, are learned from.
-    ``known`` is evaluated likewise: where it is 1, the score is 1 whatever the forest says.  Result:
-    ``row``, ``doc_id``, ``nth``, ``start`` (characters before it), ``candidate`` and ``score``
-    (0 to 1).  If the labels are not of both kinds, labelled findings score their label and others
+    for all others.  About ``labelled`` of them at most, chosen by hash in each class, are learned from;
+    the forest scores all candidates, labelled ones too.  Result: ``row``, ``doc_id``, ``nth``,
+    ``start`` (characters before it), ``candidate`` and ``score`` (0 to 1).  If the labels are not of both kinds, labelled findings score their label and others
     1 if they mix digits with letters that dictionary words do not cover, else 0.
     Null and empty texts have no candidates; repeated rows are scanned each; other columns are
     ignored.
     """
-    rows = stored(candidates(docs, id_column, path, text).withColumn("label", label.cast("int"))
-                  .withColumn("known", F.lit(False) if known is None else F.coalesce(known.cast("int") == 1, F.lit(False))))
+    rows = stored(candidates(docs, id_column, path, text).withColumn("label", label.cast("int")))
     words = stored(dictionary(docs, text))
     full = stored(_features(rows, words, transitions(words)))
     sample = stored(_sample(full.where("label IS NOT NULL"), labelled))
@@ -182,7 +180,6 @@ def scanned(docs: DataFrame, label: Column, id_column: str = "doc_id", path: str
         mixed = F.col("digits").between(0.05, 0.95) & (F.col("coverage") < 0.5) \
             & (F.col("distinct") * F.col("size") >= 8)
         scored = ready.withColumn("score", F.coalesce("label", mixed.cast("int")).cast("double"))
-    scored = scored.withColumn("score", F.when(F.col("known"), 1.0).otherwise(F.col("score")))
     # The candidates of a text in order: the lengths before one give its place.
     order = Window.partitionBy("row").orderBy("nth")
     size = F.length("candidate")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sectorlens.llm import jaccard, packing, secrets, suffixes, toxicity
-from sectorlens.llm.queries import finding_form, finding_label
+from sectorlens.llm.queries import finding_label
 from sectorlens.llm.stages import free_names, let_go, scratch, small_batches, stored
 from sectorlens.operators.joins import is_small
 
@@ -85,7 +85,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     let_go(spark)
     docs, mark = _identified(docs)
     with scratch(spark) as keep:
-        found = keep(secrets.scanned(docs, finding_label(), known=finding_form()))
+        found = keep(secrets.scanned(docs, finding_label()))
     return _counted(_anonymous(secrets.masked(docs, found), mark))
 
 

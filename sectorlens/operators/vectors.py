@@ -6,44 +6,17 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cosine
 from ..session import checkpointed
+from . import cells
+from .cells import SCORES, best, unit
 from .ordering import dense_ordinals
 
-# Question vectors that one task compares at once, and corpus vectors per task
-# when the questions are too many to be sent to every task.
-QUESTION_BLOCK, CORPUS_BLOCK = 4096, 100_000
-
-
-def _unit(vectors: pd.Series) -> np.ndarray:
-    matrix = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
-
-
-def _best(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int,
-          decimals: int) -> pd.DataFrame:
-    """The n best ids per question row of a score matrix; the smaller id wins ties."""
-    order = np.argsort(ids, kind="stable")
-    ids, scores = ids[order], np.round(scores[:, order], decimals)
-    if scores.shape[1] > 4 * n:
-        # Only what reaches the n-th score of its row is sorted.
-        edge = np.partition(scores, -n, axis=1)[:, -n:].min(axis=1, keepdims=True)
-        most = int((scores >= edge).sum(axis=1).max())
-        near = np.argsort(np.where(scores >= edge, 0, 1), axis=1, kind="stable")[:, :most]
-        best = np.take_along_axis(scores, near, axis=1)
-        top = np.take_along_axis(near, np.argsort(-best, axis=1, kind="stable"), axis=1)[:, :n]
-    else:
-        top = np.argsort(-scores, axis=1, kind="stable")[:, :n]
-    return pd.DataFrame({"query_id": np.repeat(query_ids, top.shape[1]),
-                         "vec_id": ids[top].reshape(-1),
-                         "score": np.take_along_axis(scores, top, axis=1).reshape(-1)})
-
-
-SCORES = "query_id long, vec_id long, score double"
+# Question vectors that are sent to every task; more are compared by cells.
+QUESTION_BLOCK = 4096
 
 
 def nearest(corpus: DataFrame, questions: DataFrame, n: int = 10, decimals: int = 6) -> DataFrame:
@@ -52,25 +25,21 @@ def nearest(corpus: DataFrame, questions: DataFrame, n: int = 10, decimals: int
     ``corpus`` has (vec_id, embedding), ``questions`` (query_id, embedding).
     Scores are matrix products inside tasks; a task hands on only its n best per
     question.  Up to ``QUESTION_BLOCK`` questions, counted first, travel to the
-    tasks and the corpus is not shuffled.  More questions are compared in a grid
-    of bounded blocks of both tables.  Rows without a vector have no match.
+    tasks and the corpus is not shuffled.  More questions are compared by cells
+    (``cells.nearest``).  Rows without a vector have no match.
     """
     corpus = corpus.where(F.col("embedding").isNotNull())
     questions = questions.where(F.col("embedding").isNotNull())
     head = questions.limit(QUESTION_BLOCK + 1).select("query_id", "embedding").toPandas()
-    if len(head) <= QUESTION_BLOCK:
-        partial = _against_few(corpus, head, n, decimals)
-    else:
-        partial = _against_many(corpus, questions, n, decimals)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
-    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+    if len(head) > QUESTION_BLOCK:
+        return cells.nearest(corpus, questions, n, decimals).rows
+    return cells.top(_against_few(corpus, head, n, decimals), n)
 
 
 def _against_few(corpus: DataFrame, questions: pd.DataFrame, n: int, decimals: int) -> DataFrame:
     shared = corpus.sparkSession.sparkContext.broadcast((
         questions["query_id"].to_numpy(),
-        _unit(questions["embedding"]) if len(questions) else np.zeros((0, 1))))
+        unit(questions["embedding"]) if len(questions) else np.zeros((0, 1))))
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         asked_ids, asked = shared.value
@@ -78,8 +47,8 @@ def _against_few(corpus: DataFrame, questions: pd.DataFrame, n: int, decimals: i
         for frame in frames:
             if not len(frame) or not len(asked):
                 continue
-            scores = asked @ _unit(frame["embedding"]).T
-            found = _best(asked_ids, frame["vec_id"].to_numpy(), scores, n, decimals)
+            scores = asked @ unit(frame["embedding"]).T
+            found = best(asked_ids, frame["vec_id"].to_numpy(), scores, n, decimals)
             kept = found if kept is None else pd.concat([kept, found])
             kept = kept.sort_values(["score", "vec_id"], ascending=[False, True],
                                     kind="stable").groupby("query_id").head(n)
@@ -89,34 +58,6 @@ def _against_few(corpus: DataFrame, questions: pd.DataFrame, n: int, decimals: i
     return corpus.select("vec_id", "embedding").mapInPandas(compare, SCORES)
 
 
-def _numbers(count: int) -> Column:
-    return F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))
-
-
-def _against_many(corpus: DataFrame, questions: DataFrame, n: int, decimals: int) -> DataFrame:
-    rows = max(1, -(-corpus.count() // CORPUS_BLOCK))
-    columns = max(1, -(-questions.count() // QUESTION_BLOCK))
-    # Every corpus block meets every question block in one bounded task.
-    left = corpus.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(rows)).alias("row"), "vec_id", "embedding",
-        F.explode(_numbers(columns)).alias("column"))
-    right = questions.select(
-        F.pmod(F.xxhash64("query_id"), F.lit(columns)).alias("column"), "query_id", "embedding",
-        F.explode(_numbers(rows)).alias("row"))
-
-    def compare(vectors: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(vectors) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids, matrix = vectors["vec_id"].to_numpy(), _unit(vectors["embedding"])
-        found = [
-            _best(part["query_id"].to_numpy(), ids, _unit(part["embedding"]) @ matrix.T, n, decimals)
-            for _, part in asked.groupby(np.arange(len(asked)) // 256)]
-        return pd.concat(found)
-
-    return left.groupBy("row", "column").cogroup(right.groupBy("row", "column")) \
-               .applyInPandas(compare, SCORES)
-
-
 def neighbour_similarity(df: DataFrame, keys: Sequence[str], order: str,
                          vector: str = "embedding") -> DataFrame:
     """Cosine of each vector with the next one of its group; the last one has none.

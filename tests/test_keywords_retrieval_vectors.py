@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sectorlens.operators import keywords, retrieval, segments, vectors
+from sectorlens.operators import cells, keywords, retrieval, segments, vectors
 
 
 def mmr_by_hand(rated, top_n, diversity):
@@ -95,7 +95,8 @@ def test_answer_prompts_route_by_source(spark):
 def test_nearest_is_exact(spark, monkeypatch, few):
     if not few:
         monkeypatch.setattr(vectors, "QUESTION_BLOCK", 3)
-        monkeypatch.setattr(vectors, "CORPUS_BLOCK", 20)
+        monkeypatch.setattr(cells, "PART_ROWS", 4)
+        monkeypatch.setattr(cells, "SHARE_ROWS", 2)
     rng = np.random.default_rng(0)
     pool, asked = rng.normal(size=(90, 8)), rng.normal(size=(7, 8))
     corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pool)], "vec_id long, embedding array<double>")

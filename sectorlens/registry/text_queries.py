@@ -312,6 +312,46 @@ ORACLES = {
           {sql.lexicon_polarity('text', UP_WORDS, DOWN_WORDS)} AS sentiment FROM documents""",
 }
 
+def _likeness(a: str, b: str) -> str:
+    """Cosine of the counts of two word lists."""
+    def dot(x: str, y: str) -> str:
+        return f"coalesce(list_sum(list_transform({x}, lambda u: len(list_filter({y}, lambda v: v = u)))), 0)"
+
+    norm = f"(sqrt({dot(a, a)}) * sqrt({dot(b, b)}))"
+    return f"CASE WHEN {norm} > 0 THEN {dot(a, b)} / {norm} ELSE 0 END"
+
+
+# One recursion joins sentences to paragraphs, the other merges paragraphs, one a step.
+ORACLES["semantic_segments"] = rf"""WITH RECURSIVE
+    t AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN 2 ELSE 1 END AS images,
+            {sql.sentences('text')} AS s FROM conversations WHERE text IS NOT NULL),
+    long AS (SELECT *, list_transform(s, lambda x: list_transform(list_filter(
+            string_split_regex(lower(x), '\s+'), lambda y: y <> ''), lambda y: trim(y, '.,;:!?'))) AS w
+        FROM t WHERE len(s) > images + 1),
+    grown AS (
+        SELECT conv_id, turn, 1 AS i, [w[1]] AS parts, [s[1]] AS texts FROM long
+        UNION ALL
+        SELECT conv_id, turn, i + 1,
+          CASE WHEN alike THEN list_append(parts[1:-2], list_concat(parts[-1], w[i + 1])) ELSE list_append(parts, w[i + 1]) END,
+          CASE WHEN alike THEN list_append(texts[1:-2], texts[-1] || ' ' || s[i + 1]) ELSE list_append(texts, s[i + 1]) END
+        FROM (SELECT g.*, s, w, {_likeness('parts[-1]', 'w[i + 1]')} >= {segments.THRESHOLD} AS alike
+              FROM grown g JOIN long USING (conv_id, turn) WHERE i < len(s))),
+    merged AS (
+        SELECT conv_id, turn, images, parts, texts FROM grown JOIN long USING (conv_id, turn) WHERE i = len(s)
+        UNION ALL
+        SELECT conv_id, turn, images,
+          list_concat(list_append(parts[1:best - 1], list_concat(parts[best], parts[best + 1])), parts[best + 2:]),
+          list_concat(list_append(texts[1:best - 1], texts[best] || ' ' || texts[best + 1]), texts[best + 2:])
+        FROM (SELECT *, list_position(likes, list_max(likes)) AS best
+              FROM (SELECT *, list_transform(range(1, len(parts)), lambda k: {_likeness('parts[k]', 'parts[k + 1]')}) AS likes
+                    FROM merged WHERE len(parts) > images + 1))),
+    done AS (SELECT conv_id, turn, images, texts FROM merged WHERE len(parts) <= images + 1
+        UNION ALL
+        SELECT conv_id, turn, images, list_transform(range(images + 1), lambda k: array_to_string(s, ' '))
+        FROM t WHERE len(s) <= images + 1)
+    SELECT conv_id, turn, images, CAST(unnest(range(1, len(texts) + 1)) AS BIGINT) AS seg_no, unnest(texts) AS segment
+    FROM done"""
+
 QUERIES = {f.__name__: f for f in (
     proj_article_columns, explode_urls, rejected_articles, null_failed_text, length_filter,
     collapse_newlines, strip_boilerplate, sentence_split, verb_line_filter, page_text,

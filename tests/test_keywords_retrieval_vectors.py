@@ -155,3 +155,35 @@ def test_merge_recomputes_like_the_full_search():
             at = int(np.argmax(sims)) if max(sims) > 0 else 0
             parts[at:at + 2] = [parts[at] + " " + parts[at + 1]]
         assert got == parts
+
+
+def test_exact_counts_merge_like_the_full_search():
+    rng = random.Random(6)
+    for case in range(30):
+        sentences = [" ".join(rng.choice("abcdef") * 2 for _ in range(rng.randint(1, 6))) + "."
+                     for _ in range(rng.randint(4, 25))]
+        threshold = rng.choice([0.7, 0.9, 2.0])
+
+        def like(left, right):
+            left, right = ([w.strip(".") for w in x.split()] for x in (left, right))
+            dot = sum(right.count(w) for w in left)
+            return dot / (math.sqrt(sum(map(left.count, left))) * math.sqrt(sum(map(right.count, right))))
+
+        parts = []
+        for s in sentences:
+            if parts and like(parts[-1], s) >= threshold:
+                parts[-1] += " " + s
+            else:
+                parts.append(s)
+        while len(parts) > 3:
+            sims = [like(a, b) for a, b in zip(parts, parts[1:])]
+            at = sims.index(max(sims))
+            parts[at:at + 2] = [parts[at] + " " + parts[at + 1]]
+        assert segments.split_paragraphs(sentences, 3, threshold) == parts
+
+
+def test_a_text_of_100000_sentences_is_cut(spark):
+    words = [f"w{i * 7919 % 5003} w{i % 11} w{i % 3}." for i in range(100_000)]
+    df = spark.createDataFrame([(1, " ".join(words), 4)], "id long, text string, images int")
+    got = [r.segment for r in segments.semantic_segments(df).orderBy("seg_no").collect()]
+    assert len(got) == 5 and " ".join(got) == " ".join(words)

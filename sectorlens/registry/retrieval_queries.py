@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import retrieval, vectors
+from ..operators import cells, retrieval, vectors
 from ..session import ensure_checkpoint_dir
 from ..sources.readers import spread
 from ..sources.term_index import TermIndex
@@ -87,6 +87,13 @@ def vector_topk(spark, folder):
     return vectors.nearest(pool, _centres(spark, folder))
 
 
+def vector_topk_cells(spark, folder):
+    """Every 20th vector against all of them."""
+    pool = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    asked = pool.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    return cells.nearest(pool, asked).rows
+
+
 def adjacent_similarity(spark, folder):
     found = vectors.neighbour_similarity(table(spark, folder, "embeddings"), ["label"], "vec_id")
     return found.where(F.col("next_id").isNotNull()).withColumn("similarity", F.round("similarity", 6))
@@ -124,6 +131,11 @@ ORACLES = {
           row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_similarity(
             CAST(embedding AS DOUBLE[]), e), 6) DESC, vec_id) AS rank
         FROM embeddings, c QUALIFY rank <= 10""",
+    "vector_topk_cells": """WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id % 20 = 0)
+        SELECT query_id, vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(e AS DOUBLE[])), 6) AS score,
+          row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_similarity(
+            CAST(embedding AS DOUBLE[]), CAST(e AS DOUBLE[])), 6) DESC, vec_id) AS rank
+        FROM embeddings, q QUALIFY rank <= 10""",
     "adjacent_similarity": """SELECT label, vec_id, next_id, round(list_cosine_similarity(
           CAST(embedding AS DOUBLE[]), CAST(n AS DOUBLE[])), 6) AS similarity
         FROM (SELECT label, vec_id, embedding, lead(vec_id) OVER w AS next_id, lead(embedding) OVER w AS n
@@ -132,4 +144,4 @@ ORACLES = {
 
 QUERIES = {f.__name__: f for f in (
     tfidf_terms, tfidf_weights, index_in_parts, tfidf_topk, tfidf_topk_padded, rag_prompts, vector_topk,
-    adjacent_similarity)}
+    vector_topk_cells,    adjacent_similarity)}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed, stored
+
 INPUT, OUTPUT = "Input", "Output"
 
 
@@ -94,6 +96,34 @@ def energy_balance(facts: DataFrame, fuel: str, shares: Sequence[Share] | None =
     return base.unionByName(rows.select(*COLUMNS))
 
 
+def fuel_balances(facts: DataFrame, fuels: Mapping[str, Sequence[Share]] = FUELS) -> tuple[DataFrame, DataFrame]:
+    """Balances of all fuels at once: the facts with the balance rows, and the rows per place.
+
+    ``facts`` has ``COLUMNS`` and ``fuel``; other fuels are left out.  Facts are written once; one
+    aggregation by fuel, date and place sums every share of every fuel and counts the rows.
+    """
+    base = stored(facts.where(F.col("fuel").isin(list(fuels))).select(
+        "fuel", "ref_date", "geo", F.concat("fuel", F.lit(" "), "label").alias("label"), "uom",
+        F.coalesce(F.col("value"), F.lit(0.0)).alias("value")))
+
+    def total(direction: str) -> Column:
+        result = F.lit(0.0)
+        # Labels carry their fuel's name, so a share adds nothing to other fuels.
+        for fuel, shares in fuels.items():
+            result = result + balance_sum(shares, direction, fuel)
+        return result
+
+    sums = checkpointed(base.groupBy("fuel", "ref_date", "geo").agg(
+        F.count(F.lit(1)).alias("n"), total(INPUT).alias("e_in"), total(OUTPUT).alias("e_out")))
+    dated = F.col("ref_date").isNotNull() & F.col("geo").isNotNull()
+    rows = sums.where(dated).select("ref_date", "geo", F.stack(
+        F.lit(2), F.concat("fuel", F.lit(" Input MJ")), F.col("e_in"),
+        F.concat("fuel", F.lit(" Output MJ")), F.col("e_out")).alias("label", "value")
+    ).withColumn("uom", F.lit("MJ"))
+    counts = sums.groupBy("geo").agg(F.sum(F.col("n") + F.when(dated, 2).otherwise(0)).alias("n"))
+    return base.select(*COLUMNS).unionByName(rows.select(*COLUMNS)), counts
+
+
 def union_fuels(*tables: DataFrame) -> DataFrame:
     """Balances of several fuels in one table."""
     result = tables[0]

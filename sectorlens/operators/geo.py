@@ -37,16 +37,35 @@ def add_region(facts: DataFrame, regions: Mapping[str, str] = wordlists.REGION_O
     return facts.withColumn(name, region_of(F.col(geo), regions))
 
 
-def centre_regions(facts: DataFrame, regions: Sequence[str] | None = None,
-                   region: str = "geo2") -> DataFrame:
+def region_means(counts: DataFrame, places: DataFrame,
+                 regions: Mapping[str, str] = wordlists.REGION_OF_GEO) -> DataFrame:
+    """Mean coordinates of each merged region from the rows per place, ``counts`` (geo, n).
+
+    Every row counts, so a place weighs as much as it has rows with coordinates.
+    """
+    names = sorted(set(regions.values()))
+    known = add_region(counts.join(places.select("geo", "latitude", "longitude"), "geo"), regions)
+
+    def mean(column: str) -> Column:
+        present = F.when(F.col(column).isNotNull(), F.col("n"))
+        return F.sum(F.col(column) * F.col("n")) / F.sum(present)
+
+    return known.where(F.col("geo2").isin(names)).groupBy("geo2").agg(
+        mean("latitude").alias("mean_lat"), mean("longitude").alias("mean_lon"))
+
+
+def centre_regions(facts: DataFrame, regions: Sequence[str] | None = None, region: str = "geo2",
+                   means: DataFrame | None = None) -> DataFrame:
     """Move the rows of merged regions to the mean of their rows' coordinates.
 
-    The mean counts every fact row, not every place.  There is one mean per
-    listed region, so the joined side is as short as the list.
+    The mean counts every fact row, not every place.  ``means`` (``region_means``) spare the
+    facts a second evaluation; without them they are aggregated from the facts.  There is one
+    mean per listed region, so the joined side is as short as the list.
     """
     wanted = sorted(set(wordlists.REGION_OF_GEO.values())) if regions is None else list(regions)
-    means = facts.where(F.col(region).isin(wanted)).groupBy(region).agg(
-        F.avg("latitude").alias("mean_lat"), F.avg("longitude").alias("mean_lon"))
+    if means is None:
+        means = facts.where(F.col(region).isin(wanted)).groupBy(region).agg(
+            F.avg("latitude").alias("mean_lat"), F.avg("longitude").alias("mean_lon"))
     placed = facts.join(F.broadcast(means), region, "left")
     merged = F.col(region).isin(wanted)
     return placed.withColumn("latitude", F.when(merged, F.col("mean_lat")).otherwise(F.col("latitude"))) \

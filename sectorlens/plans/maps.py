@@ -5,18 +5,24 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import wordlists
 from ..operators import energy, geo, series
 
 
-def energy_map(fuels: Sequence[DataFrame], places: DataFrame,
+def energy_map(facts: DataFrame, places: DataFrame, fuels: Mapping[str, Sequence[energy.Share]] = energy.FUELS,
                regions: Mapping[str, str] = wordlists.REGION_OF_GEO,
                labels: Sequence[str] = wordlists.BALANCE_LABELS,
                radius: float = geo.RADIUS) -> DataFrame:
-    """Unite balances, add coordinates and regions, centre merged regions, spread the balances."""
-    placed = geo.add_region(geo.add_coordinates(energy.union_fuels(*fuels), places), regions)
-    centred = geo.centre_regions(placed, sorted(set(regions.values())))
+    """Balance the facts of all fuels, add coordinates and regions, centre merged regions, spread the balances.
+
+    ``facts`` has ``energy.COLUMNS`` and ``fuel`` and is evaluated once.
+    """
+    balanced, counts = energy.fuel_balances(facts, fuels)
+    placed = geo.add_region(geo.add_coordinates(balanced, places), regions)
+    centred = geo.centre_regions(placed, sorted(set(regions.values())),
+                                 means=geo.region_means(counts, places, regions))
     return geo.offset_fixed(centred, labels=labels, radius=radius)
 
 
@@ -24,8 +30,10 @@ def generation_map(facts: DataFrame, places: DataFrame, order: str, label: str =
                    regions: Mapping[str, str] = wordlists.REGION_OF_GEO,
                    radius: float = geo.RADIUS) -> DataFrame:
     """The same for generation by type, whose types are spread in order of appearance."""
+    counts = facts.groupBy("geo").agg(F.count(F.lit(1)).alias("n"))
     placed = geo.add_region(geo.add_coordinates(facts, places), regions)
-    centred = geo.centre_regions(placed, sorted(set(regions.values())))
+    centred = geo.centre_regions(placed, sorted(set(regions.values())),
+                                 means=geo.region_means(counts, places, regions))
     return geo.offset_observed(centred, order, label, radius)
 
 
@@ -41,4 +49,5 @@ def energy_tables(gas: DataFrame, crude: DataFrame, coal: DataFrame, places: Dat
         "Crude": series.prepare_and_predict(crude, keys, lambda df: df["uom"] == unit, forecaster=forecaster),
         "Coal": energy.replicate_geo(series.prepare_and_predict(coal, keys, forecaster=forecaster)),
     }
-    return energy_map([energy.energy_balance(t, fuel) for fuel, t in predicted.items()], places)
+    return energy_map(energy.union_fuels(*(
+        t.select(*energy.COLUMNS, F.lit(fuel).alias("fuel")) for fuel, t in predicted.items())), places)

@@ -91,8 +91,10 @@ def coord_offset_observed(spark, folder):
 
 
 def map_ready(spark, folder):
-    fuels = list(_fuels(spark, folder).values())
-    mapped = maps.energy_map(fuels, places(spark, folder), REGIONS)
+    flags = F.create_map(*(F.lit(x) for fuel, (flag, _) in SLICES.items() for x in (flag, fuel)))
+    facts = statistics(spark, folder).withColumn("fuel", flags[F.col("l_returnflag")])
+    fuels = {fuel: shares for fuel, (_, shares) in SLICES.items()}
+    mapped = maps.energy_map(facts, places(spark, folder), fuels, REGIONS)
     return _rounded(mapped, "latitude", "longitude")
 
 

@@ -119,14 +119,15 @@ def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    notice = ", ".join(f"('{label}', '{text}')" for label, text in licenses.TEMPLATES.items())
+    notice = ", ".join(f"('{label}', '{text}')" for label, texts in licenses.TEMPLATES.items() for text in texts)
     phrase = ", ".join(f"('{text}', '{label}')" for text, label in licenses.PHRASES.items())
     letters = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return f"""
 WITH notices AS (
-  SELECT label, list_distinct(regexp_extract_all({lower.format('notice')}, '{letters}')) AS w
-  FROM (VALUES {notice}) AS t(label, notice)
+  SELECT notice, label, len(w) AS length, len(list_distinct(w)) AS size, unnest(list_distinct(w)) AS word
+  FROM (SELECT notice, label, regexp_extract_all({lower.format('notice')}, '{letters}') AS w
+        FROM (VALUES {notice}) AS t(label, notice))
 ), docs AS (
   SELECT row_number() OVER () AS r, doc_id, {lower.format("coalesce(text, '')")} AS t FROM documents
 ), cut AS (
@@ -137,13 +138,23 @@ WITH notices AS (
   WHERE array_to_string(list_slice(w, i, i + len(string_split(phrase, ' ')) - 1), ' ') = phrase
 ), base AS (
   SELECT r, count(*) AS n, min(i) - 1 AS a, max(i) - 1 AS z, list(DISTINCT label) AS l FROM places GROUP BY r
-), lines AS (
-  SELECT r, list_distinct(regexp_extract_all(x, '{letters}')) AS w
-  FROM docs, unnest(string_split(t, chr(10))) AS u(x)
+), hits AS (
+  SELECT r, i, word, notice, label, length, size
+  FROM (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM cut) JOIN notices USING (word)
+), blocks AS (
+  SELECT h.r, h.notice, h.label, h.length, h.i AS a, max(g.i) AS z, count(DISTINCT g.word) / h.size AS share
+  FROM hits h JOIN hits g ON h.r = g.r AND h.notice = g.notice AND g.i >= h.i AND g.i < h.i + h.length
+  GROUP BY h.r, h.notice, h.label, h.length, h.i, h.size
+  HAVING count(DISTINCT g.word) / h.size >= {licenses.THRESHOLD} - 1e-9
+), best AS (
+  SELECT * FROM blocks b WHERE NOT EXISTS (
+    SELECT 1 FROM blocks o WHERE o.r = b.r AND o.notice = b.notice AND o.a <= b.z AND b.a <= o.z
+      AND (o.share > b.share OR o.share = b.share AND o.a < b.a))
 ), met AS (
-  SELECT r, list(DISTINCT label) AS l, max(share) AS share FROM (
-    SELECT r, label, len(list_intersect(lines.w, notices.w)) / len(notices.w) AS share FROM lines, notices)
-  WHERE share >= {licenses.THRESHOLD} - 1e-9 GROUP BY r
+  SELECT r, list(DISTINCT label) AS l, max(share) AS share FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM best o WHERE o.r = b.r AND o.label <> b.label AND o.a <= b.z AND b.a <= o.z
+      AND (o.share > b.share OR o.share = b.share AND o.length > b.length))
+  GROUP BY r
 )
 SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, z AS last_word,
        coalesce(array_to_string(list_sort(base.l), ','), '') AS base_labels,

@@ -32,13 +32,11 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    docs = quality.measured(table(spark, folder, "documents"))
-    base = docs.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                       "n_repeat_words", "n_lines", "upper_chars",
-                       ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
-                       .alias("base_failed"))
+    docs = table(spark, folder, "documents")
+    base = quality.measured(docs.select("doc_id", "text")).withColumn(
+        "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     first = quality.Rule("base", "base_failed")
-    judged = quality.cascade(base, [first, *quality.ordered(docs)])
+    judged = quality.cascade(base, [first, *quality.ordered(docs, prepare=quality.measured)])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed",
                          F.col("rejected_by").isNull().alias("kept"))

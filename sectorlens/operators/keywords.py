@@ -2,7 +2,8 @@
 
 A document's keyword candidates depend on that document alone, so nothing here
 shuffles.  Words are cut and filtered JVM-side; the greedy choice, whose every
-step depends on the picks before it, runs over Arrow batches of word lists.
+step depends on the picks before it, runs over Arrow batches of word lists, of which
+one list at a time becomes Python objects.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import math
 from collections import Counter
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,17 +81,30 @@ def choose(rated: Sequence[tuple[str, float]], top_n: int,
     return [rated[at] for at in picked]
 
 
+def chosen_lists(lists: pa.Array, longest: int, top_n: int, diversity: float = DIVERSITY) -> pa.Array:
+    """The choice for every word list of a batch; a null list gives null.
+
+    The batch stays in Arrow: as Python strings it would take many times its size.
+    """
+    keywords, relevances, ends, missing = [], [], [0], []
+    for terms in lists:
+        missing.append(not terms.is_valid)
+        for keyword, rel in choose(candidates(terms.as_py(), longest), top_n, diversity) if terms.is_valid else ():
+            keywords.append(keyword)
+            relevances.append(rel)
+        ends.append(len(keywords))
+    picked = pa.StructArray.from_arrays(
+        [pa.array(keywords, pa.string()), pa.array(relevances, pa.float64())], ["keyword", "rel"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), picked, mask=pa.array(missing, pa.bool_()))
+
+
 def select_diverse(terms: Column, longest: int, top_n: int,
                    diversity: float = DIVERSITY) -> Column:
     """Diverse keywords of a word list as array<struct<keyword,rel>>, in order of choice."""
 
-    @F.pandas_udf("array<struct<keyword:string,rel:double>>")
-    def select(lists: pd.Series) -> pd.Series:
-        return pd.Series([
-            None if terms_ is None else
-            [{"keyword": k, "rel": r}
-             for k, r in choose(candidates(list(terms_), longest), top_n, diversity)]
-            for terms_ in lists], dtype=object)
+    @F.arrow_udf("array<struct<keyword:string,rel:double>>")
+    def select(lists: pa.Array) -> pa.Array:
+        return chosen_lists(lists, longest, top_n, diversity)
 
     return select(terms)
 

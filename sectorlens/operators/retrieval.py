@@ -17,6 +17,8 @@ from .ordering import first_values, joined
 
 # Question terms that are sent to every task at most: tens of megabytes.
 BROADCAST_TERMS = 500_000
+# Most frequent terms that are sent to every task at most, with their idf.
+FREQUENT_TERMS = 200_000
 
 
 def build_corpus(final: DataFrame, order: str = "seq") -> DataFrame:
@@ -99,6 +101,45 @@ def build_index(docs: DataFrame, key: str, text: str = "text",
     return terms, _weighed(frequencies, terms, key)
 
 
+def frequent_from(terms: DataFrame, most: int | None = None) -> int:
+    """The smallest power of two as a document frequency that at most ``most`` terms reach."""
+    power = F.floor(F.log2(F.col("df").cast("double"))).cast("int")
+    # One row per power of two.
+    sizes = {r["power"]: r["n"] for r in terms.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    most, total, least = FREQUENT_TERMS if most is None else most, 0, max(sizes, default=0) + 1
+    for at in sorted(sizes, reverse=True):
+        total += sizes[at]
+        if total > most:
+            break
+        least = at
+    return 1 << least
+
+
+def wanted_documents(frequencies: DataFrame, terms: DataFrame, wanted: DataFrame, key: str,
+                     most: int | None = None) -> DataFrame:
+    """(key, ``listed``): each document's weights of the wanted terms, scaled by the length of all its terms.
+
+    ``wanted`` has (term, code), few rows; ``listed`` is array<struct<weight,term>> with codes as
+    terms.  The idf of frequent and of wanted terms is sent to all tasks, where a document's rows lie
+    together; only rows of rarer terms, none of which is hot, are shuffled to meet theirs.
+    """
+    least = frequent_from(terms, most)
+    near = stored(terms.join(F.broadcast(wanted), "term", "left")
+                  .where((F.col("df") >= least) | F.col("code").isNotNull()).select("term", "idf", "code"))
+    raw = F.col("tf") * F.col("idf")
+    known = frequencies.join(F.broadcast(near), "term").groupBy(key).agg(
+        F.sum(raw * raw).alias("square"),
+        F.collect_list(F.when(F.col("code").isNotNull(), F.struct(raw.alias("weight"), F.col("code").alias("term")))
+                       ).alias("listed"))
+    rare = frequencies.join(F.broadcast(near.select("term")), "term", "left_anti") \
+                      .join(terms.where(F.col("df") < least).select("term", "idf"), "term") \
+                      .groupBy(key).agg(F.sum(raw * raw).alias("rest"))
+    length = F.sqrt(F.col("square") + F.coalesce("rest", F.lit(0.0)))
+    return known.where(F.size("listed") > 0).join(rare, key, "left").withColumn("length", length).select(
+        key, F.transform("listed", lambda p: F.struct(
+            (p["weight"] / F.col("length")).alias("weight"), p["term"].alias("term"))).alias("listed"))
+
+
 def count_terms(questions: DataFrame, query: str = "query",
                 stop_words: Sequence[str] = wordlists.STOP_WORDS_EN) -> int:
     """How many terms all questions have together.  Runs a job on the questions."""
@@ -180,14 +221,26 @@ def retrieve(questions: DataFrame, docs: DataFrame, query_key: str, key: str, n:
     """Best n documents for every question: query key, document key, score, rank.
 
     Blocks of documents that cannot reach a question's n-th score are not scored, see
-    :mod:`.impact_index`.  ``impacts`` is the postings' index in blocks; without it one is built.
+    :mod:`.impact_index`.  ``impacts`` is the postings' index in blocks, in which case ``index`` is
+    what it was built from; without it one is built.  Without either, few questions get an index
+    of the terms they ask for; documents' lengths still count all terms.
     """
-    terms, postings = index or build_index(docs, key, text, stop_words)
-    impacts = impacts or impact_index.build(postings if index else stored(postings), key)
     small = count_terms(questions, query, stop_words) <= BROADCAST_TERMS
+    if index is None:
+        frequencies = stored(term_frequencies(docs, key, text, stop_words))
+        terms = stored(_vocabulary(frequencies, docs))
+    else:
+        terms, postings = index
     asked = weigh_questions(questions, terms, query_key, query, small, stop_words)
+    if impacts is None and index is None and small:
+        asked = checkpointed(asked)
+        wanted = checkpointed(asked.select("term").distinct().withColumn("code", F.monotonically_increasing_id()))
+        impacts = impact_index.from_documents(wanted_documents(frequencies, terms, wanted, key), key)
+        asked = asked.join(F.broadcast(wanted), "term").select(query_key, F.col("code").alias("term"), "asked")
+    elif impacts is None:
+        impacts = impact_index.build(postings if index else _weighed(frequencies, terms, key), key)
     top = impact_index.search(asked, impacts, query_key, n)
-    return pad_with_zeros(top, questions, docs, query_key, key, n) if pad_zero else top
+    return pad_with_zeros(stored(top), questions, docs, query_key, key, n) if pad_zero else top
 
 
 def answer_prompts(questions: DataFrame, top: DataFrame, docs: DataFrame, query_key: str,

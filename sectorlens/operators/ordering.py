@@ -7,10 +7,13 @@ one task: a hot group may hold a third of the table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import checkpointed
 from .joins import is_small, lookup_join
@@ -104,6 +107,42 @@ def ordered_text(df: DataFrame, keys: Sequence[str], order: str, text: str, sepa
               .agg(F.coalesce(joined(F.col(text), F.col(order), separator), F.lit("")).alias(name)))
 
 
+def digests(pages: DataFrame, keys: Sequence[str], order: str, text: str) -> DataFrame:
+    """Length and MD5 of texts given in pages: keys, ``n_chars``, ``md5``.
+
+    The pages of a text pass in order through one task, as MD5 reads a text from start to end,
+    but are never put together: the task holds a batch of them.
+    """
+    keys = list(keys)
+    schema = T.StructType([*[pages.schema[k] for k in keys], T.StructField("n_chars", T.LongType()),
+                           T.StructField("md5", T.StringType())])
+    in_order = pages.repartition(*keys).sortWithinPartitions(*keys, order).select(
+        *keys, F.length(text).cast("bigint"), text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, types, size, digest = None, None, 0, None
+
+        def finished() -> pa.RecordBatch:
+            values = [*now, size, digest.hexdigest()]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], schema.fieldNames())
+
+        for batch in batches:
+            types = [*batch.schema.types[:len(keys)], pa.int64(), pa.string()]
+            columns = [c.to_pylist() for c in batch.columns[:-1]]
+            for *key, length, part in zip(*columns, batch.columns[-1]):
+                if key != now:
+                    if now is not None:
+                        yield finished()
+                    now, size, digest = key, 0, hashlib.md5()
+                if part.is_valid:
+                    size += length
+                    digest.update(part.as_buffer())
+        if now is not None:
+            yield finished()
+
+    return in_order.mapInArrow(run, schema)
+
+
 def joined(value: Column, order: Column, separator: str) -> Column:
     """Aggregate: join non-null values in order.  For groups of bounded size only."""
     items = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import prompts
 from ..functions import text as tx
-from ..session import checkpointed
+from ..session import checkpointed, stored
 from .joins import lookup_join
 from .ordering import CHUNK_ROWS, block_of, first_rows, joined, joined_together, ordered_text, with_pages
 from .packing import pack_by_chars, pack_by_words
@@ -64,7 +65,7 @@ def sector_texts(df: DataFrame, order: str, text: str = "summary_result",
 
 
 def merge_summaries(segments: DataFrame, keys: Sequence[str], final: ColumnScorer,
-                    fan_in: int = FAN_IN) -> DataFrame:
+                    fan_in: int = FAN_IN, in_pages: bool = False) -> DataFrame:
     """Reduce the segment summaries of a group to one text per group, whatever its size.
 
     ``segments`` has keys, ``seg_no`` from 1, ``summary`` and ``is_final``, which
@@ -74,8 +75,14 @@ def merge_summaries(segments: DataFrame, keys: Sequence[str], final: ColumnScore
     group needs.  So ``final`` sees at most ``fan_in`` summaries at a time and must
     be able to summarise its own results; a smaller ``fan_in`` means more calls.
     Every level is written down, so no call is repeated.
+
+    ``in_pages`` is for a ``final`` that gives back its text with something before it, like a
+    prompt: such a text grows with its group and fits no row.  It is returned in pages (keys,
+    ``page_no``, ``summary``) whose concatenation in order is the text.  Keys and summaries are not null.
     """
     keys = list(keys)
+    if in_pages:
+        return _merged_in_pages(segments, keys, final, fan_in)
     level = checkpointed(segments.select(*keys, (F.col("seg_no") - 1).alias("no"), "is_final", "summary"))
     open_groups = True
     while open_groups:
@@ -90,14 +97,37 @@ def merge_summaries(segments: DataFrame, keys: Sequence[str], final: ColumnScore
     return level.select(*keys, "summary")
 
 
+def _merged_in_pages(segments: DataFrame, keys: list[str], final: ColumnScorer, fan_in: int) -> DataFrame:
+    """The levels of :func:`merge_summaries` on numbers alone: where each text that ``final`` is asked about begins."""
+    texts = stored(segments.select(*keys, (F.col("seg_no") - 1).alias("no"), "is_final", "summary"))
+    level, asked = texts.select(*keys, "no", "is_final", F.col("no").alias("at")), []
+    open_groups = True
+    while open_groups:
+        grouped = level.groupBy(*keys, block_of("no", fan_in).alias("page")).agg(
+            F.count(F.lit(1)).alias("parts"), F.max("is_final").alias("is_final"), F.min("at").alias("at"))
+        level = checkpointed(grouped.select(
+            *keys, F.col("page").alias("no"), F.lit(True).alias("is_final"), "at",
+            (~F.col("is_final") | (F.col("parts") > 1)).cast("int").alias("leads")))
+        asked.append(level.select(*keys, F.col("at").alias("no"), "leads", F.lit(False).alias("is_first")))
+        open_groups = bool(level.where("no > 0").head(1))
+    # The last level has one row per group, which begins with the group.
+    firsts = level.select(*keys, F.col("at").alias("no"), F.lit(0).alias("leads"), F.lit(True).alias("is_first"))
+    marks = checkpointed(functools.reduce(DataFrame.unionAll, asked, firsts).groupBy(*keys, "no").agg(
+        F.sum("leads").cast("int").alias("leads"), F.max("is_first").alias("is_first")))
+    before = F.concat(F.when(F.col("is_first"), F.lit("")).otherwise(F.lit(" ")),
+                      F.repeat(final(F.lit("")), F.coalesce("leads", F.lit(0))))
+    return lookup_join(texts, marks, [*keys, "no"]).select(
+        *keys, F.col("no").alias("page_no"), F.concat(before, "summary").alias("summary"))
+
+
 def summarize_companies(df: DataFrame, order: str = "doc_id", text: str = "summary",
                         keys: Sequence[str] = ("company_name", "sector_name"),
                         scorer: ColumnScorer = tx.richest_sentence, limit: int = 3000,
-                        with_prompts: bool = False) -> DataFrame:
+                        with_prompts: bool = False, in_pages: bool = False) -> DataFrame:
     """One ``summary_result`` per company: short texts at once, long ones by segments.
 
     A text longer than ``limit`` is packed into segments, each is summarised and
-    the joined summaries are summarised again.
+    the joined summaries are summarised again.  ``in_pages`` as in :func:`merge_summaries`.
     """
     keys = list(keys)
 
@@ -121,16 +151,16 @@ def summarize_companies(df: DataFrame, order: str = "doc_id", text: str = "summa
     asked = whole.where(~is_final | (F.col("segment") != "") | (F.col("n_chars") == 0))
     scored = asked.select(*keys, "seg_no", is_final.alias("is_final"),
                           ask(prompts.COMPANY_SEGMENT)(F.col("segment")).alias("summary"))
-    merged = merge_summaries(scored, keys, ask(prompts.COMPANY_FINAL))
+    merged = merge_summaries(scored, keys, ask(prompts.COMPANY_FINAL), in_pages=in_pages)
     return merged.withColumnRenamed("summary", "summary_result")
 
 
 def summarize_sectors(companies: DataFrame, order: str,
                       keys: Sequence[str] = ("year", "sector_name"), text: str = "summary_result",
                       scorer: ColumnScorer = tx.richest_sentence, limit: int = 3000,
-                      with_prompts: bool = False) -> DataFrame:
+                      with_prompts: bool = False, in_pages: bool = False) -> DataFrame:
     """One ``sector_summary`` per sector and year: segments of about ``limit`` words are
-    summarised and consolidated."""
+    summarised and consolidated.  ``in_pages`` as in :func:`merge_summaries`."""
     keys = list(keys)
     sector = F.col(keys[-1])
 
@@ -148,7 +178,7 @@ def summarize_sectors(companies: DataFrame, order: str,
     if with_prompts:
         summary = prompts.fill(prompts.SECTOR_PART, sector=sector, number=F.col("seg_no"), text=summary)
     scored = segments.select(*keys, "seg_no", F.lit(False).alias("is_final"), summary.alias("summary"))
-    merged = merge_summaries(scored, keys, final_scorer)
+    merged = merge_summaries(scored, keys, final_scorer, in_pages=in_pages)
     return merged.withColumnRenamed("summary", "sector_summary")
 
 

@@ -60,16 +60,16 @@ def sector_summaries(spark, folder):
 def company_prompts(spark, folder):
     """What a model would be asked: the scorer gives the prompt itself as its answer."""
     asked = rollup.summarize_companies(spread(articles(spark, folder)), text="content", keys=GROUP,
-                                       scorer=lambda t: t, with_prompts=True)
-    return asked.select(*GROUP, F.length("summary_result").cast("bigint").alias("n_chars"),
-                        F.md5("summary_result").alias("prompt_md5"))
+                                       scorer=lambda t: t, with_prompts=True, in_pages=True)
+    return ordering.digests(asked, GROUP, "page_no", "summary_result").withColumnRenamed("md5", "prompt_md5")
 
 
 def sector_prompts(spark, folder):
     asked = rollup.summarize_sectors(spread(articles(spark, folder)), "doc_id", text="content",
-                                     keys=["year", "sector_name"], scorer=lambda t: t, with_prompts=True)
-    return asked.select("year", "sector_name", F.length("sector_summary").cast("bigint").alias("n_chars"),
-                        F.md5("sector_summary").alias("prompt_md5"))
+                                     keys=["year", "sector_name"], scorer=lambda t: t, with_prompts=True,
+                                     in_pages=True)
+    return ordering.digests(asked, ["year", "sector_name"], "page_no", "sector_summary").withColumnRenamed(
+        "md5", "prompt_md5")
 
 
 def keyword_lists(spark, folder):
